@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.config import GraphConfig
 from barloom.operators.pairs import pair_statistics
 from barloom.operators.samples import StepPlan, rows_in_windows
+from barloom.session import stage
 
 # Weights are rounded before ranking, so that summation order cannot flip a tie.
 WEIGHT_DECIMALS = 12
@@ -15,13 +16,13 @@ WEIGHT_DECIMALS = 12
 
 def both_directions(pairs: DataFrame) -> DataFrame:
     """Each unordered pair as two directed rows, with the shares of source and target."""
-    def view(src: str, dst: str) -> DataFrame:
-        return pairs.select(
-            "step", F.col(src).alias("src"), F.col(dst).alias("dst"), "corr",
-            "both_up", "both_down",
-            F.col(f"up_{src}").alias("up_src"), F.col(f"up_{dst}").alias("up_dst"),
-            F.col(f"down_{src}").alias("down_src"), F.col(f"down_{dst}").alias("down_dst"))
-    return view("a", "b").unionByName(view("b", "a"))
+    def view(src: str, dst: str) -> Column:
+        return F.struct(F.col(src).alias("src"), F.col(dst).alias("dst"), *[
+            F.col(f"{move}_{side}").alias(f"{move}_{name}") for move in ("up", "down")
+            for side, name in ((src, "src"), (dst, "dst"))])
+    ends = F.explode(F.array(view("a", "b"), view("b", "a"))).alias("e")
+    return pairs.select("step", "corr", "both_up", "both_down", ends) \
+        .select("step", "corr", "both_up", "both_down", "e.*")
 
 
 def pearson_edges(directed: DataFrame, threshold: float) -> DataFrame:
@@ -65,9 +66,10 @@ def keep_topk(edges: DataFrame, k: int) -> DataFrame:
     """
     order = Window.partitionBy("step", "src").orderBy(F.desc("weight"), F.desc("dst"))
     top = edges.filter((F.col("weight") > 0) & (F.col("src") != F.col("dst"))) \
-        .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
-    mirror = top.select("step", F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    return top.unionByName(mirror).groupBy("step", "src", "dst").agg(
+        .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ends = F.explode(F.array(F.struct("src", "dst"),
+                             F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    return top.select("step", "weight", ends.alias("e")).groupBy("step", "e.src", "e.dst").agg(
         F.max("weight").alias("weight"))
 
 
@@ -81,26 +83,33 @@ def merge_graphs(pearson: DataFrame, assoc: DataFrame, assoc_weight: float,
 
 
 def with_self_edges(edges: DataFrame, symbols: DataFrame, n_steps: int) -> DataFrame:
-    step = F.explode(F.sequence(F.lit(1), F.lit(n_steps))).cast("int")
+    step = F.explode(F.sequence(F.lit(1), F.lit(n_steps)))
     loops = symbols.select(step.alias("step"), F.col("symbol").alias("src"),
                            F.col("symbol").alias("dst"), F.lit(1.0).alias("weight"))
     return edges.unionByName(loops)
 
 
 def normalise(edges: DataFrame) -> DataFrame:
-    """w / sqrt(degree(src) * degree(dst)), degree including the self edge."""
-    degree = edges.groupBy("step", "src").agg(
-        F.greatest(F.sum("weight"), F.lit(1e-8)).alias("degree"))
-    of_src = degree.withColumnRenamed("degree", "d_src")
-    of_dst = degree.select("step", F.col("src").alias("dst"), F.col("degree").alias("d_dst"))
-    return edges.join(of_src, ["step", "src"]).join(of_dst, ["step", "dst"]).select(
+    """w / sqrt(degree(src) * degree(dst)), degree including the self edge.
+
+    The edge list is symmetric, so a node's degree is the sum over rows that end in it
+    as well as over rows that start in it, and no self join is needed. A node has at
+    most one edge per symbol.
+    """
+    def degree(end: str) -> Column:
+        total = F.sum("weight").over(Window.partitionBy("step", end))
+        return F.greatest(total, F.lit(1e-8))
+    return edges.select(
         "step", "src", "dst", "weight",
-        (F.col("weight") / F.sqrt(F.col("d_src") * F.col("d_dst"))).alias("norm_weight"))
+        (F.col("weight") / F.sqrt(degree("src") * degree("dst"))).alias("norm_weight"))
 
 
 def graph_parts(pairs: DataFrame, config: GraphConfig) -> dict[str, DataFrame]:
-    """Pearson, association and combined edges (without self edges)."""
-    directed = both_directions(pairs)
+    """Pearson, association and combined edges (without self edges).
+
+    The surviving pairs feed every part, so they are written once.
+    """
+    directed = both_directions(stage(pairs, "pairs"))
     pearson = keep_topk(pearson_edges(directed, config.pearson_threshold), config.pearson_topk)
     assoc = keep_topk(association_edges(association_rules(directed), config), config.assoc_topk)
     combined = merge_graphs(pearson, assoc, config.assoc_weight, config.final_topk)

@@ -97,7 +97,7 @@ def association_edges(spark, sf_dir):
 @query("gr6_combined_graph", EDGE_SPEC, GRAPH_PREFIX, "SELECT * FROM combined")
 def combined_graph(spark, sf_dir):
     _, _, pairs = _setup(spark, sf_dir)
-    return G.graph_parts(stage(pairs), GRAPH)["combined"]
+    return G.graph_parts(pairs, GRAPH)["combined"]
 
 
 @query("gr7_normalised_loops", "src norm_weight:f n_edges:i", SNAP_PREFIX, """
@@ -137,7 +137,7 @@ SELECT s.step, (SELECT count(*) FROM pearson e WHERE e.step = s.step) AS pearson
        GRAPH_PREFIX, COUNT_SQL)
 def edge_counts(spark, sf_dir):
     _, plan, pairs = _setup(spark, sf_dir)
-    return G.edge_counts(G.graph_parts(stage(pairs), GRAPH), plan.frame(spark))
+    return G.edge_counts(G.graph_parts(pairs, GRAPH), plan.frame(spark))
 
 
 @query("agg15_mean_edge_counts",
@@ -162,7 +162,7 @@ hop2 AS (SELECT g.step, g.src AS symbol, sum(g.norm_weight * h.ret) AS ret,
 def neighbour_sums(spark, sf_dir):
     panel, calendar = inputs.day_panel(spark, sf_dir)
     plan = S.plan_steps(calendar, BACKTEST)
-    edges = stage(G.build_graph(panel, _symbols(panel), plan, GRAPH))
+    edges = stage(G.build_graph(panel, _symbols(panel), plan, GRAPH), "edges")
     steps = plan.frame(spark).select("step", F.col("train_end").alias("t"))
     nodes = panel.select("t", "symbol", "ret", "vol5").join(F.broadcast(steps), "t")
     columns = ["ret", "vol5"]

@@ -12,7 +12,7 @@ from barloom.plans.registry import query
 
 ITEM_SPEC = ("prediction_run_id as_of_date:d model_name ticker last_close:f pred_close:f "
              "pred_return:f graph_gate:f created_at:t")
-ONE_RUN = "run_19990412"
+ONE_RUN = "run_19990331"
 
 
 def _run(spark, sf_dir):
