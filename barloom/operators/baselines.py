@@ -19,6 +19,8 @@ from barloom.operators.pairs import pack_vectors
 from barloom.operators.samples import by_t, StepPlan, rows_in_windows, slice_range
 
 STEPS_PER_SOLVE = 8
+# Squared singular values below this share of the largest count as zero.
+RANK_TOLERANCE = 1e-12
 
 
 def residuals(panel: DataFrame) -> DataFrame:
@@ -32,7 +34,8 @@ def date_products(panel: DataFrame, start: int, end: int) -> DataFrame:
     """``(u, products)``: sum over symbols of close[u] * close[v] for all v in the range.
 
     Each task folds its symbols into one matrix, dates x dates, so the shuffle does not
-    grow with the number of symbols.
+    grow with the number of symbols. Closes enter as deviations from the symbol's mean,
+    which changes no fit with an intercept and keeps the products accurate.
     """
     size = end - start + 1
 
@@ -43,6 +46,7 @@ def date_products(panel: DataFrame, start: int, end: int) -> DataFrame:
             if len(batch):
                 seen = True
                 block = np.stack(batch["vec"].to_numpy())
+                block = block - block.mean(axis=1, keepdims=True)
                 total += block.T @ block
         if seen:
             yield pd.DataFrame({"u": np.arange(start, end + 1, dtype=np.int32),
@@ -75,8 +79,7 @@ def smoother_weights(products: np.ndarray, offset: int, train: np.ndarray, test:
     target = cross - mean_row
     target = target - target.mean()
     values, vectors = np.linalg.eigh(centred)
-    cutoff = len(train) * np.finfo(float).eps * max(values.max(), 0.0)
-    good = values > cutoff
+    good = values > RANK_TOLERANCE * values.max()
     part = vectors[:, good]
     return 1.0 / len(train) + part @ ((part.T @ target) / values[good])
 

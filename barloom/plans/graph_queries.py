@@ -181,8 +181,13 @@ SELECT max(date) OVER () AS as_of_date, symbol, last_close, first_seq, last_seq,
     FROM panel WINDOW w AS (PARTITION BY symbol ORDER BY t)) x
 WHERE t = (SELECT max(t) FROM panel_cal)""")
 def history_snapshot(spark, sf_dir):
-    rows, _ = snapshot_from_history(inputs.bars_day(spark, sf_dir), BACKTEST.lookback, GRAPH)
-    return _flat_snapshot(rows)
+    snapshot = snapshot_from_history(inputs.bars_day(spark, sf_dir), BACKTEST.lookback)
+    return _flat_snapshot(snapshot.rows())
+
+
+def _tick_snapshot(spark, sf_dir):
+    return snapshot_from_ticks(inputs.bars_event_day(spark, sf_dir),
+                               inputs.ticks(spark, sf_dir), 5)
 
 
 def _flat_snapshot(rows):
@@ -212,16 +217,13 @@ SELECT (SELECT max(CAST(event_time AS DATE)) FROM latest) AS as_of_date, symbol,
     FROM lpanel WINDOW w AS (PARTITION BY symbol ORDER BY t)) x
 WHERE t = (SELECT max(t) FROM lpanel_cal)""")
 def tick_snapshot(spark, sf_dir):
-    rows, _ = snapshot_from_ticks(inputs.bars_event_day(spark, sf_dir),
-                                  inputs.ticks(spark, sf_dir), 5, GRAPH)
-    return _flat_snapshot(rows)
+    return _flat_snapshot(_tick_snapshot(spark, sf_dir).rows())
 
 
 @query("bt4_tick_snapshot_graph", "src dst weight:f norm_weight:f", TICK_SNAPSHOT_PREFIX,
        "SELECT * FROM graph")
 def tick_snapshot_graph(spark, sf_dir):
-    return snapshot_from_ticks(inputs.bars_event_day(spark, sf_dir),
-                               inputs.ticks(spark, sf_dir), 5, GRAPH)[1]
+    return _tick_snapshot(spark, sf_dir).graph(GRAPH)
 
 
 def _scaled_setup(spark, sf_dir):
@@ -357,7 +359,7 @@ SELECT 'run_20300101_000000' AS prediction_run_id, date AS as_of_date, 'naive' A
     TIMESTAMP '2030-01-01 00:00:00' AS created_at
 FROM panel WHERE t = (SELECT max(t) FROM panel_cal)""")
 def stored_run(spark, sf_dir):
-    rows, _ = snapshot_from_history(inputs.bars_day(spark, sf_dir), BACKTEST.lookback, GRAPH)
+    rows = snapshot_from_history(inputs.bars_day(spark, sf_dir), BACKTEST.lookback).rows()
     scored = scoring.score_rows(rows.withColumn("snapshot", F.lit("last")), scoring.naive_scorer)
     at = F.to_timestamp(F.lit("2030-01-01 00:00:00"))
     return scoring.stored_run(scored, "naive", scoring.run_id("run", at), at)
