@@ -7,6 +7,7 @@ vector, and the pooled regression on moments per date.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,10 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.config import BacktestConfig
-from barloom.operators.pairs import pack_vectors
-from barloom.operators.samples import by_t, StepPlan, rows_in_windows, slice_range
+from barloom.operators.pairs import count_symbols, pack_vectors, spread
+from barloom.operators.samples import StepPlan, by_t, rows_in_windows, slice_range
 
-STEPS_PER_SOLVE = 8
+STEPS_PER_SOLVE = 4
+SYMBOLS_PER_FIT = 64
 # Squared singular values below this share of the largest count as zero.
 RANK_TOLERANCE = 1e-12
 
@@ -31,7 +33,7 @@ def residuals(panel: DataFrame) -> DataFrame:
 
 
 def date_products(panel: DataFrame, start: int, end: int) -> DataFrame:
-    """``(u, products)``: sum over symbols of close[u] * close[v] for all v in the range.
+    """``(u, products)``: sum over symbols of close[u] * close[v] for each v <= u in the range.
 
     Each task folds its symbols into one matrix, dates x dates, so the shuffle does not
     grow with the number of symbols. Closes enter as deviations from the symbol's mean,
@@ -50,7 +52,7 @@ def date_products(panel: DataFrame, start: int, end: int) -> DataFrame:
                 total += block.T @ block
         if seen:
             yield pd.DataFrame({"u": np.arange(start, end + 1, dtype=np.int32),
-                                "products": list(total)})
+                                "products": [total[k, :k + 1] for k in range(size)]})
 
     partial = pack_vectors(panel, start, end, "close") \
         .mapInPandas(fold, "u int, products array<double>")
@@ -61,6 +63,14 @@ def date_products(panel: DataFrame, start: int, end: int) -> DataFrame:
     return points.select("u", F.col("points.product").alias("products"))
 
 
+def full_matrix(rows: list[np.ndarray]) -> np.ndarray:
+    """Symmetric matrix from its lower triangle."""
+    lower = np.zeros((len(rows), len(rows)))
+    for k, row in enumerate(rows):
+        lower[k, :k + 1] = row
+    return lower + np.tril(lower, -1).T
+
+
 def smoother_weights(products: np.ndarray, offset: int, train: np.ndarray, test: int,
                      lookback: int) -> np.ndarray:
     """Weight of each training sample in the least-squares prediction for ``test``.
@@ -92,7 +102,7 @@ def joint_weights(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -> D
               for s in range(1, plan.n_steps + 1, STEPS_PER_SOLVE)]
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        products = np.stack(rows.sort_values("u")["products"].to_numpy())
+        products = full_matrix(list(rows.sort_values("u")["products"]))
         frames = []
         for step in chunks[int(rows["chunk"].iloc[0])]:
             test = plan.first_test + step - 1
@@ -103,7 +113,8 @@ def joint_weights(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -> D
         return pd.concat(frames)
 
     chunk = F.explode(F.sequence(F.lit(0), F.lit(len(chunks) - 1)))
-    return date_products(panel, low, high).withColumn("chunk", chunk) \
+    copies = date_products(panel, low, high).withColumn("chunk", chunk)
+    return spread(copies, 2 * len(chunks), "chunk") \
         .groupBy("chunk").applyInPandas(solve, "step int, t int, weight double")
 
 
@@ -161,7 +172,9 @@ def ridge_regression(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -
             yield pd.DataFrame(out, columns=["step", "symbol", "alpha", "pred_residual"]) \
                 .astype({"step": "int32"})
 
-    return pack_vectors(panel, low, high, "close").mapInPandas(fit, schema)
+    tasks = math.ceil(count_symbols(panel, high) / SYMBOLS_PER_FIT)
+    return spread(pack_vectors(panel, low, high, "close"), tasks, "symbol").mapInPandas(
+        fit, schema)
 
 
 def lagged_closes(panel: DataFrame, n_lags: int = 3) -> DataFrame:

@@ -34,15 +34,15 @@ def align(features: DataFrame, calendar: DataFrame) -> DataFrame:
     return features.join(F.broadcast(calendar), "date")
 
 
-def aligned_panel(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+def aligned_panel(features: DataFrame, stored: bool = False) -> tuple[DataFrame, DataFrame]:
     """Aligned rows and their calendar.
 
-    Features feed both the calendar and the rows, so they are written once and the
-    source is scanned once.
+    Features feed both the calendar and the rows, so they are written once, unless they
+    come from a table already, and the source is scanned once.
     """
-    stored = stage(features, "features")
-    calendar = stage(trading_calendar(stored), "calendar")
-    return align(stored, calendar), calendar
+    rows = features if stored else stage(features, "features")
+    calendar = stage(trading_calendar(rows), "calendar")
+    return align(rows, calendar), calendar
 
 
 def count_dates(calendar: DataFrame) -> int:

@@ -20,7 +20,8 @@ from barloom.config import GraphConfig
 from barloom.operators.samples import StepPlan, slice_range
 
 BLOCK = 128
-STEPS_PER_TILE = 16
+STEPS_PER_TILE = 64
+MAX_PARTITIONS = 20_000
 PAIR_SCHEMA = ("step int, a string, b string, corr double, both_up double, both_down double, "
                "up_a double, up_b double, down_a double, down_b double")
 
@@ -35,6 +36,21 @@ def pack_vectors(panel: DataFrame, start: int, end: int, value: str) -> DataFram
     return ordered.select("symbol", F.col(f"points.{value}").alias("vec"))
 
 
+def count_symbols(panel: DataFrame, t: int) -> int:
+    """Every symbol is present on every common date, so one date counts the symbols."""
+    return slice_range(panel, t, t).count()
+
+
+def spread(groups: DataFrame, n_groups: int, *keys: str) -> DataFrame:
+    """Hash groups over about twice as many partitions.
+
+    The groups are small but costly to compute, so they must not be merged by size, as
+    the planner would do with an exchange of its own. A grouping on the same keys that
+    follows needs no further exchange.
+    """
+    return groups.repartition(max(1, min(2 * n_groups, MAX_PARTITIONS)), *keys)
+
+
 def to_tiles(vectors: DataFrame, n_blocks: int, n_chunks: int) -> DataFrame:
     """Copy each vector to every tile (block pair, step chunk) that needs it."""
     block = F.pmod(F.xxhash64("symbol"), F.lit(n_blocks)).cast("int")
@@ -76,6 +92,7 @@ def pair_filter(config: GraphConfig) -> Callable[[dict[str, np.ndarray]], np.nda
 
 
 def _tile_frames(rows: pd.DataFrame, windows, offset: int, keep) -> Iterator[pd.DataFrame]:
+    """Surviving pairs of one tile, a frame per step."""
     key = rows.iloc[0]
     left = rows[rows["block"] == key["row_block"]]
     right = rows[rows["block"] == key["col_block"]]
@@ -83,29 +100,28 @@ def _tile_frames(rows: pd.DataFrame, windows, offset: int, keep) -> Iterator[pd.
         return
     names_l, names_r = left["symbol"].to_numpy(), right["symbol"].to_numpy()
     x, y = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-    if key["row_block"] == key["col_block"]:
-        wanted = names_l[:, None] < names_r[None, :]
-    else:
-        wanted = np.ones((len(names_l), len(names_r)), dtype=bool)
-    i, j = np.nonzero(wanted)
-    swap = names_l[i] > names_r[j]
-    first = np.where(swap, names_r[j], names_l[i])
-    second = np.where(swap, names_l[i], names_r[j])
+    in_order = names_l[:, None] < names_r[None, :]
+    same_block = key["row_block"] == key["col_block"]
     for step, start, end in windows:
         wx, wy = x[:, start - offset:end - offset + 1], y[:, start - offset:end - offset + 1]
-        n = wx.shape[1]
         ux, uy, dx, dy = (m.astype(float) for m in (wx > 0, wy > 0, wx < 0, wy < 0))
-        side = {"up": (ux.mean(axis=1), uy.mean(axis=1)),
-                "down": (dx.mean(axis=1), dy.mean(axis=1))}
-        stats = {"corr": (_deviations(wx) @ _deviations(wy).T)[i, j],
-                 "both_up": ((ux @ uy.T) / n)[i, j], "both_down": ((dx @ dy.T) / n)[i, j]}
-        for name, (pl, pr) in side.items():
-            stats[f"{name}_a"] = np.where(swap, pr[j], pl[i])
-            stats[f"{name}_b"] = np.where(swap, pl[i], pr[j])
-        mask = keep(stats) if keep else np.ones(len(i), dtype=bool)
-        yield pd.DataFrame({"step": np.full(mask.sum(), step, dtype=np.int32),
-                            "a": first[mask], "b": second[mask],
-                            **{k: v[mask] for k, v in stats.items()}})
+        stats = {"corr": _deviations(wx) @ _deviations(wy).T,
+                 "both_up": ux @ uy.T / wx.shape[1], "both_down": dx @ dy.T / wx.shape[1],
+                 "up_a": ux.mean(axis=1)[:, None], "up_b": uy.mean(axis=1)[None, :],
+                 "down_a": dx.mean(axis=1)[:, None], "down_b": dy.mean(axis=1)[None, :]}
+        # A block met with itself holds each pair twice.
+        wanted = in_order if same_block else np.ones(in_order.shape, dtype=bool)
+        i, j = np.nonzero(wanted & keep(stats) if keep else wanted)
+        ordered = in_order[i, j]
+        out = {"step": np.full(len(i), step, dtype=np.int32),
+               "a": np.where(ordered, names_l[i], names_r[j]),
+               "b": np.where(ordered, names_r[j], names_l[i])}
+        out |= {name: stats[name][i, j] for name in ("corr", "both_up", "both_down")}
+        for move in ("up", "down"):
+            of_l, of_r = stats[f"{move}_a"][i, 0], stats[f"{move}_b"][0, j]
+            out[f"{move}_a"] = np.where(ordered, of_l, of_r)
+            out[f"{move}_b"] = np.where(ordered, of_r, of_l)
+        yield pd.DataFrame(out)
 
 
 def pair_statistics(panel: DataFrame, plan: StepPlan, recent_days: int,
@@ -117,16 +133,15 @@ def pair_statistics(panel: DataFrame, plan: StepPlan, recent_days: int,
     """
     windows = plan.windows(recent_days)
     low, high = min(w[1] for w in windows), max(w[2] for w in windows)
-    # Every symbol is present on every common date, so one date counts the symbols.
-    n_symbols = slice_range(panel, high, high).count()
-    n_blocks = max(1, math.ceil(n_symbols / block))
+    n_blocks = max(1, math.ceil(count_symbols(panel, high) / block))
     chunks = [windows[k:k + STEPS_PER_TILE] for k in range(0, len(windows), STEPS_PER_TILE)]
     keep = pair_filter(config) if config else None
-    columns = [c.split()[0] for c in PAIR_SCHEMA.split(", ")]
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        frames = list(_tile_frames(rows, chunks[int(rows["chunk"].iloc[0])], low, keep))
-        return pd.concat(frames)[columns] if frames else pd.DataFrame(columns=columns)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches))
+        yield from _tile_frames(rows, chunks[int(rows["chunk"].iloc[0])], low, keep)
 
+    keys = ["row_block", "col_block", "chunk"]
     tiles = to_tiles(pack_vectors(panel, low, high, "ret"), n_blocks, len(chunks))
-    return tiles.groupBy("row_block", "col_block", "chunk").applyInPandas(run, PAIR_SCHEMA)
+    n_tiles = n_blocks * (n_blocks + 1) // 2 * len(chunks)
+    return spread(tiles, n_tiles, *keys).groupBy(*keys).applyInPandas(run, PAIR_SCHEMA)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.plans.present import present, wrap_sql
+from barloom.session import ship_package
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +20,7 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(self.build(spark, sf_dir), self.spec)
+        return present(self.build(ship_package(spark), sf_dir), self.spec)
 
 
 REGISTRY: dict[str, Query] = {}

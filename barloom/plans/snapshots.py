@@ -61,9 +61,8 @@ def snapshot_from_ticks(bars: DataFrame, ticks: DataFrame, lookback: int,
     ticked = bars.join(newest.select("symbol"), "symbol", "left_semi")
     merged = merge_ticks(ticked, newest, late_policy)
     features = stage(engineer_features(merged), "features")
-    usable = long_enough(features, lookback)
-    require_rows(usable, "symbols with enough history")
-    panel, calendar = aligned_panel(usable)
+    usable = require_rows(long_enough(features, lookback), "symbols with enough history")
+    panel, calendar = aligned_panel(usable, stored=True)
     n_dates = require_dates(count_dates(calendar), lookback)
     as_of = newest.join(usable.select("symbol").distinct(), "symbol", "left_semi") \
         .agg(F.max(F.to_date("event_time"))).scalar()

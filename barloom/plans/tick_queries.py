@@ -145,7 +145,7 @@ def row_counts(spark, sf_dir):
                                "newest_run": serving.of_latest_run(preds)})
 
 
-def _incoming(preds):
+def rerun_rows(preds):
     """A rerun of one model's runs (each row sent twice) plus a new run."""
     base = preds.filter(F.col("model_name") == "model_odd")
     first = base.withColumn("pred_close", F.col("pred_close") * 1.01) \
@@ -170,7 +170,7 @@ SELECT 're' || prediction_run_id, as_of_date, model_name, ticker, last_close, pr
 def upsert(spark, sf_dir):
     preds = inputs.predictions(spark, sf_dir)
     now = F.to_timestamp(F.lit("2030-01-01 00:00:00"))
-    return upsert_rows(preds, _incoming(preds), now=now)
+    return upsert_rows(preds, rerun_rows(preds), now=now)
 
 
 def _tick_stream(spark, sf_dir):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ DEFAULTS = {
 }
 
 _local_root: str | None = None
+_shipped_to: set[str] = set()
 
 
 def build_session(app: str = "barloom", master: str | None = None,
@@ -27,7 +30,23 @@ def build_session(app: str = "barloom", master: str | None = None,
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    The functions that run inside tasks live in it, and executors on other machines, or
+    workers started from another folder, cannot import it otherwise.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped_to:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip",
+                                      package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped_to.add(context.applicationId)
+    return spark
 
 
 def staging_root(spark: SparkSession) -> str:

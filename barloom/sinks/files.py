@@ -26,7 +26,7 @@ def write_report(df: DataFrame, path: str) -> None:
 
 def write_bar_cache(bars: DataFrame, path: str) -> None:
     """CSV cache with one folder per symbol."""
-    bars.repartition("symbol").write.mode("overwrite").option("header", True) \
+    bars.hint("rebalance", "symbol").write.mode("overwrite").option("header", True) \
         .partitionBy("symbol").csv(path)
 
 

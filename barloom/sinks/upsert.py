@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barloom.session import stage
 
 KEYS = ["prediction_run_id", "ticker"]
+BUCKETS = 16
 
 
 def last_per_key(incoming: DataFrame, keys: list[str] = KEYS,
@@ -32,22 +33,38 @@ def upsert_rows(target: DataFrame, incoming: DataFrame, keys: list[str] = KEYS,
         fresh.select(*target.columns))
 
 
+def run_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("prediction_run_id"), F.lit(buckets)).cast("int")
+
+
+def _by_bucket(rows: DataFrame, buckets: int):
+    # Rebalancing evens out task sizes, so that a large bucket is written by several tasks.
+    return rows.withColumn("run_bucket", run_bucket(buckets)).hint("rebalance", "run_bucket") \
+        .write.partitionBy("run_bucket")
+
+
+def create_table(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """First load of the predictions table, partitioned by a hash of the run id."""
+    _by_bucket(rows, buckets).mode("errorifexists").parquet(path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("run_bucket")
+
+
 def upsert_table(spark: SparkSession, path: str, incoming: DataFrame,
-                 position: str = "position", now: Column | None = None) -> None:
-    """Upsert into a Parquet table partitioned by run id.
+                 position: str = "position", now: Column | None = None,
+                 buckets: int = BUCKETS) -> None:
+    """Upsert into the stored predictions table; ``buckets`` as at its creation.
 
-    Only the partitions of incoming runs are read and replaced. Their new content is
-    staged in full before they are overwritten, so no path is read while it is written.
+    Only the partitions that incoming runs hash to are read and replaced: the bucket
+    numbers prune the scan. Their new content is staged in full before they are
+    overwritten, so no path is read while it is written.
     """
-    runs = incoming.select("prediction_run_id").distinct()
-    touched = spark.read.parquet(path).join(runs, "prediction_run_id", "left_semi")
+    hit = incoming.select(run_bucket(buckets).alias("run_bucket")).distinct()
+    numbers = [r["run_bucket"] for r in hit.collect()]  # at most ``buckets`` of them
+    touched = spark.read.parquet(path).filter(F.col("run_bucket").isin(numbers)) \
+        .drop("run_bucket")
     merged = stage(upsert_rows(touched, incoming, KEYS, position, now), "upsert")
-    merged.repartition("prediction_run_id").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("prediction_run_id") \
-        .parquet(path)
-
-
-def create_table(rows: DataFrame, path: str) -> None:
-    """First load of the predictions table."""
-    rows.repartition("prediction_run_id").write.mode("errorifexists") \
-        .partitionBy("prediction_run_id").parquet(path)
+    _by_bucket(merged, buckets).mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").parquet(path)

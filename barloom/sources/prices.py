@@ -56,6 +56,14 @@ def read_price_csv(spark: SparkSession, path: str | list[str],
     return clean_bars(rows_to_bars(raw))
 
 
+def read_bar_cache(spark: SparkSession, path: str) -> DataFrame:
+    """Bars of a cache with one folder per symbol (``sinks.files.write_bar_cache``)."""
+    schema = "date string, open string, high string, low string, close string, volume string"
+    raw = spark.read.schema(schema + ", symbol string").option("header", True).csv(path)
+    names = {name.lower(): name for name in PRICE_HEADERS}
+    return clean_bars(rows_to_bars(raw.withColumnsRenamed(names)))
+
+
 def read_close_history(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Date text and close for the price-history query; unusable rows are skipped."""
     raw = read_price_text(spark, path)

@@ -14,7 +14,8 @@ from barloom.operators import scoring
 from barloom.operators import ticks as K
 from barloom.sinks import files, relational
 from barloom.sinks.publish import message_frame, tick_messages
-from barloom.sinks.upsert import create_table, last_per_key, upsert_rows, upsert_table
+from barloom.sinks.upsert import (create_table, last_per_key, read_table, run_bucket, upsert_rows,
+                                  upsert_table)
 from barloom.sources import documents, messages, prices, tables
 from tests.panels import bars, day
 from tests.test_golden import PREDICTION, at
@@ -192,16 +193,20 @@ def test_upsert_table_touches_only_its_runs(spark, tmp_path):
     path = str(tmp_path / "preds")
     create_table(stored(spark, "r1", {"A": 1.0, "B": 2.0}, 1).unionByName(
         stored(spark, "r2", {"A": 5.0}, 2)), path)
-    untouched = {p.name for p in Path(path).glob("prediction_run_id=r2/*.parquet")}
+    ids = spark.createDataFrame([("r1",), ("r2",), ("r3",)], "prediction_run_id string")
+    bucket = {r[0]: r[1] for r in ids.select("prediction_run_id", run_bucket(16)).collect()}
+    assert bucket["r2"] not in (bucket["r1"], bucket["r3"])
+    untouched = {p.name for p in Path(path).glob(f"run_bucket={bucket['r2']}/*.parquet")}
+    assert untouched
     incoming = stored(spark, "r1", {"B": 9.0, "C": 3.0}, 3).unionByName(
         stored(spark, "r3", {"A": 7.0}, 3)).withColumn("position", F.lit(0))
     for _ in range(2):  # a second run of the same upsert changes nothing
         upsert_table(spark, path, incoming)
         got = {(r.prediction_run_id, r.ticker): r.pred_close
-               for r in spark.read.parquet(path).collect()}
+               for r in read_table(spark, path).collect()}
         assert got == {("r1", "A"): 1.0, ("r1", "B"): 9.0, ("r1", "C"): 3.0, ("r2", "A"): 5.0,
                        ("r3", "A"): 7.0}
-    assert {p.name for p in Path(path).glob("prediction_run_id=r2/*.parquet")} == untouched
+    assert {p.name for p in Path(path).glob(f"run_bucket={bucket['r2']}/*.parquet")} == untouched
 
 
 def test_later_duplicate_wins_and_created_at_is_refreshed(spark):
