@@ -40,47 +40,49 @@ def clean_bars(bars: DataFrame) -> DataFrame:
         .dropna(subset=["close"]).select(*BAR_COLUMNS)
 
 
-def merge_plan(bars: DataFrame, ticks: DataFrame, late_policy: str = "overwrite_last") -> DataFrame:
-    """One row per symbol with a tick: what the tick does to the history.
+def tick_actions(bars: DataFrame, ticks: DataFrame,
+                 late_policy: str = "overwrite_last") -> DataFrame:
+    """Bars with what their symbol's tick does to the history.
 
-    ``action`` is ``overwrite`` (a bar of the event date exists), ``append`` (newer
-    than the last bar) or ``overwrite_last`` (older and absent).
+    ``action`` is ``overwrite`` (a bar of the event date exists), ``append`` (newer than
+    the last bar) or ``overwrite_last`` (older and absent); NULL without a tick.
     """
     if late_policy not in ("overwrite_last", "ignore"):
         raise ValueError(f"unknown late policy {late_policy}")
     tick = ticks.select("symbol", F.col("price").alias("tick_price"),
                         F.to_date("event_time").alias("event_date"))
-    history = bars.select("symbol", "date", "volume").join(tick, "symbol")
-    summary = history.groupBy("symbol").agg(
-        F.max("date").alias("last_date"),
-        F.max_by("volume", "date").alias("last_volume"),
-        F.bool_or(F.col("date") == F.col("event_date")).alias("known_date"),
-        F.first("tick_price").alias("tick_price"),
-        F.first("event_date").alias("event_date"))
-    action = F.when(F.col("known_date"), "overwrite") \
-        .when(F.col("event_date") > F.col("last_date"), "append") \
-        .otherwise(late_policy)
+    whole = Window.partitionBy("symbol")
+    facts = bars.select(*BAR_COLUMNS).join(tick, "symbol", "left").withColumns({
+        "last_date": F.max("date").over(whole),
+        "last_volume": F.max_by("volume", "date").over(whole),
+        "known_date": F.max(F.col("date") == F.col("event_date")).over(whole)})
+    action = F.when(F.col("event_date").isNull(), F.lit(None)) \
+        .when(F.col("known_date"), "overwrite") \
+        .when(F.col("event_date") > F.col("last_date"), "append").otherwise(late_policy)
     target = F.when(F.col("action") == "overwrite_last", F.col("last_date")) \
-        .when(F.col("action") != "ignore", F.col("event_date"))
-    return summary.withColumn("action", action).withColumn("target_date", target) \
-        .select("symbol", "tick_price", "target_date", "last_volume", "action")
+        .when(F.col("action") == "overwrite", F.col("event_date"))
+    return facts.withColumn("action", action).withColumn("target_date", target)
 
 
 def merge_ticks(bars: DataFrame, ticks: DataFrame,
                 late_policy: str = "overwrite_last") -> DataFrame:
-    """Bars with each symbol's newest tick applied; ``ticks`` has one row per symbol."""
-    plan = merge_plan(bars, ticks, late_policy)
-    hit = F.col("date") == F.col("target_date")
-    prices = {c: F.when(hit, F.col("tick_price")).otherwise(F.col(c))
-              for c in ("open", "high", "low", "close")}
-    volume = F.when(hit, F.coalesce("volume", "last_volume")).otherwise(F.col("volume"))
-    rewritten = bars.join(plan, "symbol", "left") \
-        .withColumns({**prices, "volume": volume}).select(*BAR_COLUMNS)
-    appended = plan.filter(F.col("action") == "append").select(
-        "symbol", F.col("target_date").alias("date"),
-        *[F.col("tick_price").alias(c) for c in ("open", "high", "low", "close")],
-        F.coalesce("last_volume", F.lit(0.0)).alias("volume"))
-    return rewritten.unionByName(appended)
+    """Bars with each symbol's newest tick applied; ``ticks`` has one row per symbol.
+
+    One pass over the bars: the newest bar of a symbol also gives off the appended one.
+    Rows stay partitioned by symbol, as the feature windows want them.
+    """
+    price, hit = F.col("tick_price"), F.col("date") == F.col("target_date")
+    quotes = ("open", "high", "low", "close")
+    kept = F.struct("date", *[
+        F.when(hit, price).otherwise(F.col(c)).alias(c) for c in quotes],
+        F.when(hit, F.coalesce("volume", "last_volume")).otherwise(F.col("volume"))
+        .alias("volume"))
+    added = F.struct(F.col("event_date").alias("date"), *[
+        price.alias(c) for c in quotes], F.coalesce("last_volume", F.lit(0.0)).alias("volume"))
+    is_new = (F.col("action") == "append") & (F.col("date") == F.col("last_date"))
+    rows = F.array_compact(F.array(kept, F.when(is_new, added)))
+    return tick_actions(bars, ticks, late_policy) \
+        .select("symbol", F.explode(rows).alias("bar")).select("symbol", "bar.*")
 
 
 def newest_close(bars: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.guards import DataCheckError
@@ -60,9 +60,12 @@ def first_dates_from(calendar: DataFrame, start_date: str, n_days: int) -> DataF
 
 
 def long_enough(features: DataFrame, lookback: int) -> DataFrame:
-    """Drop symbols that have no more than ``lookback`` feature rows."""
-    keep = features.groupBy("symbol").count().filter(F.col("count") > lookback)
-    return features.join(keep, "symbol", "left_semi")
+    """Drop symbols that have no more than ``lookback`` feature rows.
+
+    Counted in a window on the partitioning that the features already have.
+    """
+    counted = features.withColumn("n_rows", F.count("*").over(Window.partitionBy("symbol")))
+    return counted.filter(F.col("n_rows") > lookback).drop("n_rows")
 
 
 def with_history(ticks: DataFrame, features: DataFrame, lookback: int) -> DataFrame:

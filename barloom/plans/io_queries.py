@@ -12,7 +12,7 @@ from barloom.plans import inputs
 from barloom.plans.oracle_prefix import BARS, MESSAGES, PREDICTION_PREFIX, TICK_PREFIX
 from barloom.plans.registry import query
 from barloom.plans.tick_queries import BAR_SPEC, TICK_SPEC, rerun_rows
-from barloom.session import staging_path
+from barloom.session import stage, staging_path
 from barloom.sinks import files
 from barloom.sinks.publish import message_frame, tick_messages
 from barloom.sinks.upsert import create_table, read_table, upsert_table
@@ -82,7 +82,7 @@ SELECT prediction_run_id, ticker, CASE WHEN model_name = 'model_odd' THEN pred_c
 UNION ALL SELECT 're' || prediction_run_id, ticker, pred_close FROM preds""")
 def upserted_table(spark, sf_dir):
     path = staging_path(spark, "predictions")
-    preds = inputs.predictions(spark, sf_dir)
+    preds = stage(inputs.predictions(spark, sf_dir))
     create_table(preds, path)
     upsert_table(spark, path, rerun_rows(preds))
     return read_table(spark, path)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from barloom.operators import metrics as M
 from barloom.plans import inputs
 from barloom.plans.inputs import CONTESTS, MODELS
 from barloom.plans.oracle_prefix import BACKTEST_PREFIX
 from barloom.plans.registry import query
+from barloom.session import stage
 
 METRIC_SPEC = "model mse:f mae:f rmse:f directional_accuracy:f"
 METRIC_SQL = """
@@ -97,8 +96,11 @@ def _wins_sql(table: str, scope: str) -> str:
 @query("agg12_win_counts", "scope challenger base wins:i n:i", BACKTEST_PREFIX,
        _wins_sql(STEP_SQL, "day") + " UNION ALL " + _wins_sql(TICKER_SQL, "ticker"))
 def win_counts(spark, sf_dir):
-    return M.win_counts(compare_steps(spark, sf_dir), CONTESTS, "day").unionByName(
-        M.win_counts(symbol_mse(spark, sf_dir), CONTESTS, "ticker"))
+    rows = stage(inputs.forecasts(spark, sf_dir))
+    days = M.compare_models(M.day_mse(rows), ["step", "date"], "day_mse", CONTESTS, "day_mse")
+    symbols = M.compare_models(M.symbol_mse(rows), ["ticker"], "mse", CONTESTS, "mse")
+    return M.win_counts(days, CONTESTS, "day").unionByName(
+        M.win_counts(symbols, CONTESTS, "ticker"))
 
 
 GATE_SPEC = "gate_mean:f gate_min:f gate_max:f gate_std:f"

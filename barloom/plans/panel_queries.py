@@ -13,6 +13,7 @@ from barloom.plans import inputs
 from barloom.plans.inputs import BACKTEST
 from barloom.plans.oracle_prefix import BACKTEST_PREFIX, BAR_PREFIX, BARS, FEATURES
 from barloom.plans.registry import query
+from barloom.session import stage
 
 BAR_SPEC = "symbol date:d open:f high:f low:f close:f volume:f"
 FEATURE_SPEC = BAR_SPEC + " ret:f ma5:f ma20:f vol5:f vol20:f"
@@ -101,12 +102,12 @@ def paper_features(spark, sf_dir):
 
 @query("set1_common_dates", "date:d", BAR_PREFIX, "SELECT date FROM panel_cal")
 def common_dates(spark, sf_dir):
-    return C.common_dates(X.engineer_features(inputs.bars_day(spark, sf_dir)))
+    return C.common_dates(stage(X.engineer_features(inputs.bars_day(spark, sf_dir))))
 
 
 @query("win7_dense_index", "date:d t:i", BAR_PREFIX, "SELECT date, t FROM panel_cal")
 def dense_index(spark, sf_dir):
-    return C.trading_calendar(X.engineer_features(inputs.bars_day(spark, sf_dir)))
+    return C.trading_calendar(stage(X.engineer_features(inputs.bars_day(spark, sf_dir))))
 
 
 @query("jn5_aligned_panel", FEATURE_SPEC + " t:i", BAR_PREFIX, "SELECT * FROM panel")

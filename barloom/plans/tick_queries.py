@@ -13,7 +13,7 @@ from barloom.operators.features import engineer_features
 from barloom.plans import inputs
 from barloom.plans.oracle_prefix import FEATURES, MESSAGES, PREDICTION_PREFIX, TICK_PREFIX
 from barloom.plans.registry import query
-from barloom.session import staging_path
+from barloom.session import stage, staging_path
 from barloom.sinks.publish import tick_messages
 from barloom.sinks.upsert import upsert_rows
 from barloom.sources.tables import read_parquet_prefix
@@ -140,7 +140,7 @@ SELECT 'ticks' AS "table", count(*) AS n_rows FROM ticks
 UNION ALL SELECT 'predictions', count(*) FROM preds
 UNION ALL SELECT 'newest_run', count(*) FROM run""")
 def row_counts(spark, sf_dir):
-    preds = inputs.predictions(spark, sf_dir)
+    preds = stage(inputs.predictions(spark, sf_dir))
     return serving.row_counts({"ticks": inputs.ticks(spark, sf_dir), "predictions": preds,
                                "newest_run": serving.of_latest_run(preds)})
 
@@ -168,7 +168,7 @@ UNION ALL
 SELECT 're' || prediction_run_id, as_of_date, model_name, ticker, last_close, pred_close,
     pred_return, graph_gate, TIMESTAMP '2030-01-01 00:00:00' FROM preds""")
 def upsert(spark, sf_dir):
-    preds = inputs.predictions(spark, sf_dir)
+    preds = stage(inputs.predictions(spark, sf_dir))
     now = F.to_timestamp(F.lit("2030-01-01 00:00:00"))
     return upsert_rows(preds, rerun_rows(preds), now=now)
 

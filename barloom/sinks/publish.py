@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.bars import newest_close
@@ -20,16 +20,12 @@ def tick_messages(bars: DataFrame, event_time: Column | None = None,
 
 
 def message_frame(messages: DataFrame, topic: str, at: Column | None = None) -> DataFrame:
-    """Messages in the raw column contract, for file-backed topics.
-
-    Offsets follow the key order of each partition; there is one message per symbol.
-    """
+    """Messages in the raw column contract, for file-backed topics; offsets are unique."""
     partition = F.pmod(F.xxhash64("key"), F.lit(4)).cast("int")
-    order = Window.partitionBy("partition").orderBy("key")
     return messages.withColumn("partition", partition).select(
         F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"), "partition",
-        (F.row_number().over(order) - 1).cast("long").alias("offset"),
+        F.monotonically_increasing_id().alias("offset"),
         (at if at is not None else F.current_timestamp()).alias("timestamp"))
 
 

@@ -33,8 +33,9 @@ def upsert_rows(target: DataFrame, incoming: DataFrame, keys: list[str] = KEYS,
         fresh.select(*target.columns))
 
 
-def run_bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("prediction_run_id"), F.lit(buckets)).cast("int")
+def run_bucket(buckets: int, run: Column | None = None) -> Column:
+    run = run if run is not None else F.col("prediction_run_id")
+    return F.pmod(F.xxhash64(run), F.lit(buckets)).cast("int")
 
 
 def _by_bucket(rows: DataFrame, buckets: int):
@@ -52,6 +53,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("run_bucket")
 
 
+def read_run(spark: SparkSession, path: str, run_id: str, buckets: int = BUCKETS) -> DataFrame:
+    """Rows of one run; its bucket prunes the scan to one partition."""
+    return spark.read.parquet(path).filter(
+        (F.col("run_bucket") == run_bucket(buckets, F.lit(run_id)))
+        & (F.col("prediction_run_id") == run_id)).drop("run_bucket")
+
+
 def upsert_table(spark: SparkSession, path: str, incoming: DataFrame,
                  position: str = "position", now: Column | None = None,
                  buckets: int = BUCKETS) -> None:
