@@ -13,10 +13,15 @@ PAPER_COLUMNS = ["open", "high", "low", "close", "volume"]
 
 
 def simple_return(close: str = "close") -> Column:
-    """Return against the previous bar: 0.0 on the first bar, NULL after a zero close."""
-    previous = F.lag(close).over(by_date())
+    """Return against the previous bar: 0.0 on the first bar, NULL after a zero close.
+
+    A second bar for one symbol and date stops the job: windows here rely on daily bars.
+    """
+    previous, previous_date = F.lag(close).over(by_date()), F.lag("date").over(by_date())
+    twice = F.raise_error(F.concat(F.lit("several bars for "), "symbol", F.lit(" on "), "date"))
     change = F.try_divide(F.col(close), previous) - 1
-    return F.when(F.row_number().over(by_date()) == 1, F.lit(0.0)).otherwise(change)
+    return F.when(previous_date.isNull(), F.lit(0.0)) \
+        .when(previous_date == F.col("date"), twice.cast("double")).otherwise(change)
 
 
 def rolling(name: str, size: int, measure=F.avg) -> Column:

@@ -56,7 +56,8 @@ def staging_root(spark: SparkSession) -> str:
     driver and executors are one machine, falls back to a temporary folder.
     """
     global _local_root
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) \
+        or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):

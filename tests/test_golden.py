@@ -65,6 +65,13 @@ def test_daily_key_guard(spark):
         require_daily_key(good.unionByName(good))
 
 
+def test_features_refuse_repeated_days(spark):
+    once = bars(spark, {"A": [1.0, 2.0], "B": [1.0]})
+    twice = once.unionByName(once.filter("symbol = 'A'").limit(1))
+    with pytest.raises(Exception, match="several bars for A"):
+        X.add_features(twice).collect()
+
+
 def test_ragged_panel_intersection(spark):
     frame = bars(spark, {"A": [1.0] * 4, "B": [2.0] * 3, "C": [3.0] * 3},
                  {"A": [0, 1, 2, 3], "B": [0, 2, 3], "C": [1, 2, 3]})

@@ -5,11 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.config import BacktestConfig, GraphConfig
+from barloom.operators import bars as B
 from barloom.operators import calendar as C
 from barloom.operators import features as X
 from barloom.operators import graph as G
 from barloom.operators import samples as S
 from barloom.operators import scaling as Z
+from barloom.operators import ticks as K
 from barloom.operators.pairs import pair_statistics
 from tests.panels import bars, correlated, panel
 
@@ -103,3 +105,36 @@ def test_aligned_panel_is_rectangular(spark):
     n = calendar.count()
     assert n > 0 and aligned.count() == 3 * n
     assert aligned.groupBy("symbol").count().filter(f"count <> {n}").isEmpty()
+
+
+@pytest.mark.parametrize("policy", ["overwrite_last", "ignore"])
+def test_merge_against_plain_python(spark, policy):
+    import datetime as dt
+    rng = np.random.default_rng(11)
+    symbols = [f"S{k:02d}" for k in range(40)]
+    days = {s: sorted(rng.choice(12, rng.integers(1, 8), replace=False).tolist())
+            for s in symbols}
+    frame = bars(spark, {s: list(rng.random(len(days[s]))) for s in symbols}, days)
+    # One symbol holds a third of all ticks; some symbols have none.
+    owners = ["S00"] * 100 + list(rng.choice(symbols[:30], 200))
+    rows = [(s, float(k), k % 3, int(rng.integers(0, 50)),
+             dt.datetime(2024, 1, 1) + dt.timedelta(days=int(rng.integers(0, 16))))
+            for k, s in enumerate(owners)]
+    ticks = spark.createDataFrame(rows, "symbol string, price double, partition_id int, "
+                                        "kafka_offset long, event_time timestamp")
+    newest = {}
+    for row in rows:
+        order = (row[4], row[3], row[2], row[1])
+        if row[0] not in newest or order > newest[row[0]][0]:
+            newest[row[0]] = (order, row)
+    want = {(r.symbol, r.date): r.close for r in frame.collect()}
+    for s, (_, row) in newest.items():
+        date = row[4].date()
+        last = max(d for (n, d) in want if n == s)
+        if (s, date) in want or date > last:
+            want[(s, date)] = row[1]
+        elif policy == "overwrite_last":
+            want[(s, last)] = row[1]
+    got = B.merge_ticks(frame, K.latest_ticks(ticks), policy).collect()
+    assert len(got) == len(want)
+    assert {(r.symbol, r.date): r.close for r in got} == want
