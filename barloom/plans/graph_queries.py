@@ -9,12 +9,11 @@ from barloom.operators import calendar as C
 from barloom.operators import graph as G
 from barloom.operators import samples as S
 from barloom.operators import scoring
-from barloom.operators import ticks as K
 from barloom.operators.pairs import pair_statistics
 from barloom.plans import inputs
 from barloom.plans.inputs import BACKTEST, GRAPH
 from barloom.plans.oracle_prefix import (BACKTEST_PREFIX, BAR_PREFIX, FEATURES, GRAPH_PREFIX,
-                                         MESSAGES, PANEL, TICK_PREFIX, graph_ctes)
+                                         PANEL, TICK_PREFIX, graph_ctes)
 from barloom.plans.registry import query
 from barloom.plans.snapshots import snapshot_from_history, snapshot_from_ticks
 from barloom.session import stage

@@ -18,7 +18,6 @@ from barloom.session import stage
 BAR_SPEC = "symbol date:d open:f high:f low:f close:f volume:f"
 FEATURE_SPEC = BAR_SPEC + " ret:f ma5:f ma20:f vol5:f vol20:f"
 BRAND_PREFIX = ",".join([BARS, FEATURES.format(name="bfeat", bars="bars_brand")])
-MONTH_PREFIX = ",".join([BARS, FEATURES.format(name="mfeat", bars="bars_month")])
 FILLED = """
 filled AS (SELECT symbol, date, open, high, low, volume,
     last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date

@@ -1,8 +1,6 @@
 """Hand-worked results on tiny inputs."""
 
 import datetime as dt
-import json
-import math
 
 import numpy as np
 import pytest

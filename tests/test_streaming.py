@@ -8,7 +8,7 @@ from barloom.operators import ticks as K
 from barloom.operators.bars import merge_ticks
 from barloom.sources import messages
 from barloom.streaming import ticks as S
-from tests.panels import bars, day
+from tests.panels import bars
 
 FILES = 4
 
