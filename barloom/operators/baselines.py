@@ -21,6 +21,8 @@ from barloom.operators.samples import StepPlan, by_t, rows_in_windows, slice_ran
 
 STEPS_PER_SOLVE = 4
 SYMBOLS_PER_FIT = 64
+# About 50 MB of (step, t, weight) rows.
+MAX_BROADCAST_WEIGHTS = 2_000_000
 # Squared singular values below this share of the largest count as zero.
 RANK_TOLERANCE = 1e-12
 
@@ -119,8 +121,16 @@ def joint_weights(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -> D
 
 
 def joint_regression(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -> DataFrame:
-    """Predicted residual per step and symbol by multi-output least squares."""
+    """Predicted residual per step and symbol by multi-output least squares.
+
+    There is a weight per step and training date at most. While that bound is small the
+    weights are broadcast, so that the residuals are not shuffled by date, of which
+    there are few.
+    """
     weights = joint_weights(panel, plan, config)
+    most = plan.n_steps * (plan.initial_end - plan.train_start + plan.n_steps)
+    if most <= MAX_BROADCAST_WEIGHTS:
+        weights = F.broadcast(weights)
     rows = residuals(panel).select("t", "symbol", "residual")
     return rows.join(weights, "t").groupBy("step", "symbol").agg(
         F.sum(F.col("weight") * F.col("residual")).alias("pred_residual"))

@@ -119,8 +119,9 @@ def sequences(closes, ts, lookback):
     return np.stack([closes[t - lookback:t].T.reshape(-1) for t in ts])
 
 
-@pytest.mark.parametrize("lookback", [4, 12])
-def test_joint_regression(frame, closes, plan, lookback):
+@pytest.mark.parametrize("lookback, limit", [(4, 0), (4, 10 ** 6), (12, 10 ** 6)])
+def test_joint_regression(frame, closes, plan, lookback, limit, monkeypatch):
+    monkeypatch.setattr(L, "MAX_BROADCAST_WEIGHTS", limit)
     # lookback 12 has more coefficients than samples: the minimum-norm solution is meant.
     config = BacktestConfig(lookback=lookback, test_days=6, initial_train=60, val_days=10)
     got = {(r.step, r.symbol): r.pred_residual
