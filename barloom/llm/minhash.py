@@ -36,11 +36,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     that bears it.
 
     Equal sets are folded first, so groups of exact copies cost one row. The rest meets in banded
-    buckets of a one-permutation signature. A bucket never emits its pairs: its members are held
-    against one hub, links are confirmed on full sets, and components are taken. A bucket with
-    members of several components goes into another round with hubs from its small components,
-    twice as many each time, until every bucket holds one component or has compared all that
-    differ. So within the buckets no link between components is lost, and a pair at the threshold
+    buckets of a one-permutation signature. A bucket never emits its pairs: members that can be
+    linked to any other, judged by their shingles that no other set has, are held against one hub,
+    links are confirmed on full sets, and components are taken. A bucket with members of several
+    components goes into another round with hubs from its small components, twice as many each time,
+    until every bucket holds one component or has compared all that differ. So within the buckets no link between components is lost, and a pair at the threshold
     shares no bucket with probability 1e-6.
 
     Null and blank texts have no shingle and stay alone, as do rows whose id is null (component_id
@@ -109,23 +109,20 @@ def _set_writer(width: int):
 def _links(rows: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) that connect all groups which share a bucket and pass the threshold."""
     entries = groups.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = stage(entries.groupBy("bucket").agg(F.count("*").alias("held"),
-                                                 F.min("node").alias("hub"))
-                   .filter("held > 1").select("bucket", "hub"), "shared")
-    members = stage(entries.join(shared, "bucket").select("bucket", "hub", "node", "n"), "members")
+    shared = stage(entries.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
+    members = stage(entries.join(shared, "bucket").select("bucket", "node", "n",
+                                                          F.col("node").alias("root")), "members")
     sets = stage(_sets(rows, groups, members, width), "sets")
-    hubs = stage(members.filter("node = hub")
-                 .select("bucket", "node", "n", F.col("node").alias("root")), "hubs")
-    members = members.select("bucket", "node", "n", F.col("node").alias("root"))
     links, share = None, 1
     while True:
+        members = _viable(members, sets, percent)
+        hubs = stage(_hubs(members, share), "hubs")
         found = _confirmed(members, hubs, sets, percent)
         links = found if links is None else stage(links.union(found), "links")
-        members = _open_members(members, hubs, components(links))
+        members = _without(members, hubs, components(links))
         if members.isEmpty():
             return links
         share *= 2
-        hubs = stage(_small_component_hubs(members, share), "hubs")
 
 
 def _sets(rows: DataFrame, groups: DataFrame, members: DataFrame, width: int) -> DataFrame:
@@ -137,16 +134,57 @@ def _sets(rows: DataFrame, groups: DataFrame, members: DataFrame, width: int) ->
             .filter("node IS NOT NULL").dropDuplicates(["node"]))
 
 
+def _viable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members that some other member may be linked to, with the number of shingles only they have.
+
+    A shingle of one set alone is in no intersection, so a set with too many of them reaches the
+    threshold with nothing. In large groups of loose copies this leaves few.
+    """
+    owner = F.xxhash64("node").alias("owner")
+    held = sets.join(members.select("node").distinct(), "node", "left_semi")
+    alone = (held.select(owner, F.explode("hashes").alias("hash"))
+             .groupBy("hash").agg(F.count("*").alias("sets"), F.min("owner").alias("owner"))
+             .filter("sets = 1").groupBy("owner").agg(F.count("*").alias("alone")))
+    counted = members.withColumn("owner", owner).join(stage(alone, "alone"), "owner", "left").drop(
+        "owner").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    return _mixed(stage(counted.filter(100 * (F.col("n") - F.col("alone"))
+                                       >= percent * F.col("n")), "viable"))
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component."""
+    mixed = stage(members.groupBy("bucket").agg(F.min("root").alias("low"),
+                                                F.max("root").alias("high"))
+                  .filter("low != high").select("bucket"), "mixed")
+    return stage(members.join(mixed, "bucket").select(members.columns), "open")
+
+
+def _hubs(members: DataFrame, share: int) -> DataFrame:
+    """Up to ``share`` hubs per bucket, one for each share of its components.
+
+    Small components come first, so that the largest need not spend its members; within one the
+    member with the smallest part of shingles of its own, which is nearest to the others.
+    """
+    part = (F.col("alone") / F.col("n")).alias("part")
+    parts = members.groupBy("bucket", "root").agg(
+        F.count("*").alias("held"), F.min(F.struct(part, "node", "n", "alone")).alias("one"))
+    salt = F.pmod(F.xxhash64("root"), F.lit(share)).alias("salt")
+    best = F.min(F.struct("held", "one", "root")).alias("hub")
+    return parts.groupBy("bucket", salt).agg(best).select(
+        "bucket", "hub.one.node", "hub.one.n", "hub.one.alone", "hub.root")
+
+
 def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between hubs and the members of their bucket that are in another component."""
     hub = hubs.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"),
-                      F.col("root").alias("root_a"))
+                      F.col("alone").alias("alone_a"), F.col("root").alias("root_a"))
+    both = F.col("n") + F.col("n_a")
+    most = F.least(F.col("n") - F.col("alone"), F.col("n_a") - F.col("alone_a"))
     pairs = stage(
         members.join(hub, "bucket").filter("root != root_a")
-        # Sets of too different sizes cannot reach the threshold.
-        .filter(100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a"))
+        .filter(100 * most >= percent * (both - most))
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"),
-                (F.col("n") + F.col("n_a")).alias("both")).distinct(), "pairs")
+                both.alias("both")).distinct(), "pairs")
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a")), "a")
     with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("set_b")), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -155,21 +193,10 @@ def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: in
                  .select("a", "b"), "confirmed")
 
 
-def _open_members(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members not yet used as hub, of buckets where these belong to several components."""
-    rest = stage(members.drop("root").join(hubs.select("bucket", "node"), ["bucket", "node"],
-                                           "left_anti"), "rest")
-    rest = stage(rest.join(roots, "node", "left")
-                 .select("bucket", "node", "n", F.coalesce("root", "node").alias("root")), "rooted")
-    mixed = stage(rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                  .filter("low != high").select("bucket"), "mixed")
-    return stage(rest.join(mixed, "bucket").select("bucket", "node", "n", "root"), "open")
-
-
-def _small_component_hubs(members: DataFrame, share: int) -> DataFrame:
-    """Up to ``share`` hubs per bucket: of each share of its components, one of the smallest."""
-    parts = members.groupBy("bucket", "root").agg(
-        F.count("*").alias("held"), F.min(F.struct("node", "n")).alias("one"))
-    salt = F.pmod(F.xxhash64("root"), F.lit(share)).alias("salt")
-    return (parts.groupBy("bucket", salt).agg(F.min(F.struct("held", "root", "one")).alias("hub"))
-            .select("bucket", "hub.one.node", "hub.one.n", "hub.root"))
+def _without(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members not yet used as hub under their new roots, where a bucket still mixes components."""
+    rest = stage(members.select("bucket", "node", "n").join(
+        hubs.select("bucket", "node"), ["bucket", "node"], "left_anti"), "rest")
+    return _mixed(stage(rest.join(roots, "node", "left")
+                        .select("bucket", "node", "n", F.coalesce("root", "node").alias("root")),
+                        "rooted"))
