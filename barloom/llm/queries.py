@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, checks, decontam, embed_dedup, minhash, sharding, urls
+from barloom.llm import (bpe, checks, decontam, embed_dedup, html_extract, minhash, pii, quality,
+                         sharding, toxicity, urls)
 from barloom.session import ship_package
 
 SHARDS = [f"shard-{k:03d}" for k in range(96)]
 RULES = [urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"),
          urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
+PII_KEY = b"a key for trials; a deployment passes its own"
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -42,16 +44,43 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(quality.learnable())
+    scored = quality.score(docs, quality.learn(docs, labels))
+    return scored.select("doc_id", (~quality.learnable()).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = html_extract.extract(pages, html_extract.learn(pages))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(toxicity.learnable())
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    return scored.select("doc_id", (~toxicity.learnable()).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash, op2_sharding, op3_decontamination, op4_bpe, op8_embedding_dedup, op10_url_filter)}
+    op1_minhash, op2_sharding, op3_decontamination, op4_bpe, op5_quality, op6_pii, op7_html,
+    op8_embedding_dedup, op9_toxicity, op10_url_filter)}
 ORACLES = {
     "op1_minhash": checks.OP1_SQL,
     "op2_sharding": checks.op2_sql(SHARDS),
