@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 from collections.abc import Iterator
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 # Fixed value: the published split pattern of byte-level BPE vocabularies.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Pieces remembered per worker; beyond it the memory starts afresh. Results do not depend on it.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 # Ids given to Spark at once (and so the largest output batch, but for one longer text).
 IDS_OUT = 1_000_000
 
@@ -34,10 +35,13 @@ class Codec:
         held = json.loads(definition)
         vocab, symbols = held["model"]["vocab"], byte_symbols()
         self._start = [vocab[s] for s in symbols]
-        self._merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # Rank of a pair of symbols, the pair as one number; symbol that a rank makes.
+        self._ranks: dict[int, int] = {}
+        self._makes: list[int] = []
         for rank, pair in enumerate(held["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self._merges.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
+            self._ranks.setdefault(vocab[left] << 32 | vocab[right], rank)
+            self._makes.append(vocab[left + right])
         byte_of = {s: bytes([b]) for b, s in enumerate(symbols)}
         self._bytes = {i: b"".join(byte_of.get(c, c.encode()) for c in token)
                        for token, i in vocab.items()}
@@ -71,28 +75,33 @@ class Codec:
 
     def merge(self, piece: bytes) -> list[int]:
         """Merge the lowest ranked adjacent pair, leftmost first, until none has a rank."""
-        symbol = [self._start[b] for b in piece]
-        n, merges = len(symbol), self._merges
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*merges[pair], k) for k, pair in enumerate(zip(symbol, symbol[1:]))
-                if pair in merges]
+        start, ranks, makes = self._start, self._ranks, self._makes
+        symbol = [start[b] for b in piece]
+        n = len(symbol)
+        if n == 1:
+            return symbol
+        # A heap entry is rank and place in one number.
+        heap = [rank << 32 | k for k in range(n - 1)
+                if (rank := ranks.get(symbol[k] << 32 | symbol[k + 1])) is not None]
         heapq.heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while heap:
-            _, merged, k = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            k, rank = entry & 0xFFFFFFFF, entry >> 32
             nxt = after[k]
             # Stale: the symbol or its neighbour has changed since the entry was made.
-            if symbol[k] < 0 or nxt >= n or \
-                    merges.get((symbol[k], symbol[nxt]), (0, -1))[1] != merged:
+            if symbol[k] < 0 or nxt >= n or ranks.get(symbol[k] << 32 | symbol[nxt]) != rank:
                 continue
-            symbol[k], symbol[nxt] = merged, -1
+            merged = symbol[k] = makes[rank]
+            symbol[nxt] = -1
             after[k] = following = after[nxt]
             if following < n:
                 before[following] = k
-                if entry := merges.get((merged, symbol[following])):
-                    heapq.heappush(heap, (*entry, k))
+                if (rank := ranks.get(merged << 32 | symbol[following])) is not None:
+                    heapq.heappush(heap, rank << 32 | k)
             if (previous := before[k]) >= 0:
-                if entry := merges.get((symbol[previous], merged)):
-                    heapq.heappush(heap, (*entry, previous))
+                if (rank := ranks.get(symbol[previous] << 32 | merged)) is not None:
+                    heapq.heappush(heap, rank << 32 | previous)
         return [s for s in symbol if s >= 0]
 
     def decode(self, ids) -> str:
@@ -100,6 +109,12 @@ class Codec:
         return b"".join([held.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
+@functools.lru_cache(maxsize=1)
+def codec_of(definition: str) -> Codec:
+    """The codec of a vocabulary, kept by a worker from task to task."""
+    return Codec(definition)
+
+
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     kept = [k for k, column in enumerate(batch.schema.names) if column != name]
     return pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), values],
@@ -127,7 +142,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     definition = _definition(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(definition.value)
+        codec = codec_of(definition.value)
         for batch in batches:
             texts = batch.column(batch.schema.names.index(text_col))
             start, parts, held = 0, [], 0
@@ -155,7 +170,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids",
     definition = _definition(encoded, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(definition.value)
+        codec = codec_of(definition.value)
         for batch in batches:
             lists = batch.column(batch.schema.names.index(ids_col))
             texts = (codec.decode(lists[k].values.to_pylist()) if lists[k].is_valid else ""
