@@ -12,8 +12,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 GRAM = 3
-# Rows of (token, ...) up to which a benchmark side is broadcast (some 50 MB); above it the join
-# shuffles both sides. The result is the same.
+# Rows of a benchmark side that are broadcast at once (some 50 MB). More tokens are searched for in
+# several passes, more windows by a shuffled join; the result is the same.
 BROADCAST_ROWS = 500_000
 
 
@@ -59,27 +59,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         F.col(item_text_col).cast("string").alias("text")), window), "item_windows")
     windows = items.groupBy("window").agg(F.first("words").alias("words"))
     grams = stage(_window_grams(windows), "window_grams")
-    hits = stage(_token_hits(rows, grams), "token_hits")
+    hits = stage(_token_hits(rows, grams, window), "token_hits")
     needed = stage(_rarest_tokens(grams, hits), "needed")
 
-    start = F.col("at") - F.col("offset")
-    candidates = (hits.join(_sized(needed), ["token", "size"])
-                  .select("key", start.cast("int").alias("start"), "length", "window", "n_words")
-                  .filter("start >= 0 AND start + length <= n_words")
-                  .groupBy("key").agg(F.collect_set(F.struct("start", "length", "window"))
-                                      .alias("candidates")))
-    found = stage(_verified(rows, stage(candidates, "candidates")), "verified")
-
-    listed = (found.filter("size(windows) > 0").select("key", F.explode("windows").alias("window"))
-              .distinct().join(items.select("window", "item").filter("item IS NOT NULL").distinct(),
-                               "window")
+    found = stage(_occurrences(hits, _sized(needed), window), "occurrences")
+    covered = F.array_distinct(F.flatten(F.transform(
+        "places", lambda c: F.sequence(c["start"], c["start"] + c["length"] - 1))))
+    hit = found.groupBy("key").agg(F.collect_set(F.struct("start", "length")).alias("places")) \
+        .select("key", F.size(covered).cast("long").alias("n_hit"))
+    listed = (found.select("key", "window").distinct()
+              .join(items.select("window", "item").filter("item IS NOT NULL").distinct(), "window")
               .groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items")))
-    none = F.array().cast("array<string>")
-    hit = F.col("n_hit")
-    return (found.join(stage(listed, "listed"), "key", "left")
-            .withColumn("items", F.coalesce("items", none))
+    per_text = stage(hit.join(listed, "key", "left"), "per_text")
+    counted = rows.select("doc_id", F.md5("text").alias("key"),
+                          F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    none, share = F.array().cast("array<string>"), min_share * F.col("n_words")
+    return (counted.join(per_text, "key", "left")
+            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+                    F.coalesce("items", none).alias("items"))
             .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                    "items", ((hit > 0) & (hit >= min_share * F.col("n_words")))
+                    "items", ((F.col("n_hit") > 0) & (F.col("n_hit") >= share))
                     .alias("contaminated")))
 
 
@@ -103,21 +102,31 @@ def _window_grams(windows: DataFrame) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2])
 
 
-def _token_hits(rows: DataFrame, grams: DataFrame) -> DataFrame:
-    """(key, n_words, size, at, token): where benchmark tokens stand in documents."""
-    tokens = _sized(grams.select("size", "token").distinct())
+def _token_hits(rows: DataFrame, grams: DataFrame, window: int) -> DataFrame:
+    """(key, n_words, size, at, token, before, around): benchmark tokens in documents.
+
+    ``around`` holds the words from ``before`` words ahead of the token to a window's length after it,
+    so that no later step needs the text. The tokens are broadcast in parts of BROADCAST_ROWS; the
+    documents are read once per part, and never shuffled.
+    """
+    tokens = stage(grams.select("size", "token").distinct(), "tokens")
+    sizes = tokens.groupBy("size").count().collect()  # at most GRAM rows
     worded = rows.select(F.md5("text").alias("key"), words_of(F.col("text")).alias("words"))
-    present = {r["size"] for r in grams.select("size").distinct().collect()}  # at most GRAM
-    parts = []
-    for size in sorted(present) or [GRAM]:
-        parts.append(worded.select(
-            "key", F.size("words").alias("n_words"), F.lit(size).alias("size"),
-            F.posexplode(_gram_tokens(F.col("words"), size)).alias("at", "token"))
-            .join(tokens, ["token", "size"]))
-    hits = parts[0]
-    for part in parts[1:]:
-        hits = hits.union(part)
-    return hits.select("key", "n_words", "size", "at", "token")
+    before = F.least(F.col("at"), F.lit(window - 1))
+    found = None
+    for size, held in sorted((r["size"], r["count"]) for r in sizes) or [(GRAM, 0)]:
+        n_parts = -(-held // BROADCAST_ROWS) or 1
+        placed = worded.select("key", "words", F.posexplode(_gram_tokens(F.col("words"), size))
+                               .alias("at", "token"))
+        for part in range(n_parts):
+            some = tokens.filter((F.col("size") == size) &
+                                 (F.pmod(F.xxhash64("token"), F.lit(n_parts)) == part))
+            hits = placed.join(F.broadcast(some.select("token")), "token").select(
+                "key", F.size("words").alias("n_words"), F.lit(size).alias("size"), "at", "token",
+                before.alias("before"),
+                F.slice("words", F.col("at") - before + 1, 2 * window - 1).alias("around"))
+            found = hits if found is None else found.union(hits)
+    return found
 
 
 def _rarest_tokens(grams: DataFrame, hits: DataFrame) -> DataFrame:
@@ -131,16 +140,12 @@ def _rarest_tokens(grams: DataFrame, hits: DataFrame) -> DataFrame:
                                          "best.token"))
 
 
-def _verified(rows: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(doc_id, key, n_words, n_hit, windows) after comparing candidates word by word."""
-    joined = (rows.withColumn("key", F.md5("text")).join(candidates, "key", "left")
-              .withColumn("words", words_of(F.col("text"))))
-    real = joined.withColumn("real", F.filter(
-        F.coalesce("candidates", F.array().cast(candidates.schema["candidates"].dataType)),
-        lambda c: F.array_join(F.slice("words", c["start"] + 1, c["length"]), " ") == c["window"]))
-    covered = F.array_distinct(F.flatten(F.transform(
-        "real", lambda c: F.sequence(c["start"], c["start"] + c["length"] - 1))))
-    return real.select("doc_id", "key", F.size("words").cast("long").alias("n_words"),
-                       F.size(covered).cast("long").alias("n_hit"),
-                       F.array_distinct(F.transform("real", lambda c: c["window"]))
-                       .alias("windows"))
+def _occurrences(hits: DataFrame, needed: DataFrame, window: int) -> DataFrame:
+    """(key, start, length, window): where a window stands word for word."""
+    start = F.col("at") - F.col("offset")
+    seen = F.array_join(F.slice("around", F.greatest(F.col("before") - F.col("offset"), F.lit(0)) + 1,
+                                F.col("length")), " ")
+    return (hits.join(needed, ["token", "size"])
+            .filter((start >= 0) & (start + F.col("length") <= F.col("n_words"))
+                    & (F.col("offset") <= F.col("before")) & (seen == F.col("window")))
+            .select("key", start.cast("int").alias("start"), "length", "window").distinct())
