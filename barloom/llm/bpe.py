@@ -58,7 +58,8 @@ class Codec:
         ids: list[int] = []
         known = self._known
         # With one group in the pattern, odd parts are the added tokens.
-        for k, part in enumerate(self._split_added(text)):
+        special = any(t in text for t in self._added)
+        for k, part in enumerate(self._split_added(text) if special else [text]):
             if k % 2:
                 ids.append(self._added[part])
                 continue
@@ -84,9 +85,10 @@ class Codec:
         heap = [rank << 32 | k for k in range(n - 1)
                 if (rank := ranks.get(symbol[k] << 32 | symbol[k + 1])) is not None]
         heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while heap:
-            entry = heapq.heappop(heap)
+            entry = pop(heap)
             k, rank = entry & 0xFFFFFFFF, entry >> 32
             nxt = after[k]
             # Stale: the symbol or its neighbour has changed since the entry was made.
@@ -98,10 +100,10 @@ class Codec:
             if following < n:
                 before[following] = k
                 if (rank := ranks.get(merged << 32 | symbol[following])) is not None:
-                    heapq.heappush(heap, rank << 32 | k)
+                    push(heap, rank << 32 | k)
             if (previous := before[k]) >= 0:
                 if (rank := ranks.get(symbol[previous] << 32 | merged)) is not None:
-                    heapq.heappush(heap, rank << 32 | previous)
+                    push(heap, rank << 32 | previous)
         return [s for s in symbol if s >= 0]
 
     def decode(self, ids) -> str:
@@ -173,7 +175,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids",
         codec = codec_of(definition.value)
         for batch in batches:
             lists = batch.column(batch.schema.names.index(ids_col))
-            texts = (codec.decode(lists[k].values.to_pylist()) if lists[k].is_valid else ""
+            texts = (codec.decode(lists[k].values.to_numpy(zero_copy_only=False).tolist()) if lists[k].is_valid else ""
                      for k in range(len(batch)))
             yield _with_column(batch, text_col, pa.array(texts, pa.string()))
 
