@@ -34,14 +34,14 @@ def _sized(side: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  min_share: float = 0.05, id_col: str = "doc_id", text_col: str = "text",
+                  min_percent: int = 5, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items, contaminated), one row per row of ``docs``.
 
     An item's windows are its runs of ``window`` words, or all its words where it has fewer but some.
     Words of a document inside any occurrence of a window are hit; ``items`` lists, as sorted strings,
-    the items with an occurring window. A document is contaminated if ``n_hit`` is at least
-    ``min_share`` of its words and not 0.
+    the items with an occurring window. A document is contaminated if 100 x ``n_hit`` is at least
+    ``min_percent`` x its words, and not 0.
 
     The join runs on one necessary token per window: its word triple that is rarest in the
     documents, counted over all of them (a window with a triple that no document has drops out).
@@ -73,13 +73,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     per_text = stage(hit.join(listed, "key", "left"), "per_text")
     counted = rows.select("doc_id", F.md5("text").alias("key"),
                           F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    none, share = F.array().cast("array<string>"), min_share * F.col("n_words")
+    none = F.array().cast("array<string>")
+    enough = 100 * F.col("n_hit") >= min_percent * F.col("n_words")
     return (counted.join(per_text, "key", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                     F.coalesce("items", none).alias("items"))
             .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                    "items", ((F.col("n_hit") > 0) & (F.col("n_hit") >= share))
-                    .alias("contaminated")))
+                    "items", ((F.col("n_hit") > 0) & enough).alias("contaminated")))
 
 
 def _windows(items: DataFrame, window: int) -> DataFrame:
