@@ -24,6 +24,8 @@ STEPS_PER_TILE = 64
 MAX_PARTITIONS = 20_000
 PAIR_SCHEMA = ("step int, a string, b string, corr double, both_up double, both_down double, "
                "up_a double, up_b double, down_a double, down_b double")
+# More than rounding to the graph's decimals can move a value.
+SLACK = 1e-11
 
 
 def pack_vectors(panel: DataFrame, start: int, end: int, value: str) -> DataFrame:
@@ -76,17 +78,21 @@ def association(both: np.ndarray, p_src: np.ndarray, p_dst: np.ndarray):
 
 
 def pair_filter(config: GraphConfig) -> Callable[[dict[str, np.ndarray]], np.ndarray]:
-    """Mask of pairs that can reach either graph in at least one direction."""
+    """Mask of pairs that can reach either graph in at least one direction.
+
+    The graph compares rounded values, so the limits are lowered by ``SLACK`` here: the mask
+    keeps all that the graph keeps, which has the last word.
+    """
     def keep(s: dict[str, np.ndarray]) -> np.ndarray:
-        passes = np.abs(s["corr"]) >= config.pearson_threshold
+        passes = np.abs(s["corr"]) >= config.pearson_threshold - SLACK
         support = np.maximum(s["both_up"], s["both_down"])
         for src, dst in (("a", "b"), ("b", "a")):
             _, conf_up, lift = association(s["both_up"], s[f"up_{src}"], s[f"up_{dst}"])
             _, conf_down, lift_down = association(
                 s["both_down"], s[f"down_{src}"], s[f"down_{dst}"])
-            passes |= ((support >= config.min_support)
-                       & (np.maximum(conf_up, conf_down) >= config.min_confidence)
-                       & (np.maximum(lift, lift_down) >= config.lift_threshold))
+            passes |= ((support >= config.min_support - SLACK)
+                       & (np.maximum(conf_up, conf_down) >= config.min_confidence - SLACK)
+                       & (np.maximum(lift, lift_down) >= config.lift_threshold - SLACK))
         return passes
     return keep
 

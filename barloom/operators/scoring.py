@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from collections.abc import Callable
 
 import numpy as np
@@ -54,8 +56,11 @@ def _shape(scored: DataFrame) -> DataFrame:
 
 
 def run_id(prefix: str, at: Column | None = None) -> Column:
-    stamp = F.date_format(at if at is not None else F.current_timestamp(), "yyyyMMdd_HHmmss")
-    return F.concat(F.lit(prefix), F.lit("_"), stamp)
+    """``prefix`` and a time stamp; without ``at`` the driver's clock, read once, so that every
+    evaluation of a plan names the same run."""
+    if at is None:
+        return F.lit(f"{prefix}_{datetime.now(timezone.utc):%Y%m%d_%H%M%S}")
+    return F.concat(F.lit(prefix), F.lit("_"), F.date_format(at, "yyyyMMdd_HHmmss"))
 
 
 LINEAGE = ["checkpoint_path", "input_npz_path", "output_json_path", "device"]

@@ -33,7 +33,10 @@ def parse_payload(decoded: DataFrame, time_source: str = "broker") -> DataFrame:
         event_time = F.try_to_timestamp(F.col("body.event_time"))
     else:
         raise ValueError(f"unknown time source {time_source}")
-    return decoded.withColumn("body", body).select(
+    # A generator, so that the text is parsed once and filters on the fields stay above it.
+    once = decoded.select("topic", "partition_id", "kafka_offset", "event_time",
+                          F.explode(F.array(body)).alias("body"))
+    return once.select(
         F.col("body.symbol").alias("symbol"), F.col("body.price").alias("price"),
         "topic", "partition_id", "kafka_offset", event_time.alias("event_time"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.guards import DataCheckError
 from barloom.session import stage
 
 KEYS = ["prediction_run_id", "ticker"]
@@ -67,12 +68,18 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame,
 
     Only the partitions that incoming runs hash to are read and replaced: the bucket
     numbers prune the scan. Their new content is staged in full before they are
-    overwritten, so no path is read while it is written.
+    overwritten, so no path is read while it is written. The incoming rows are staged
+    first: a run id or clock in them is evaluated once, and the partitions that are read
+    are the ones that are replaced.
     """
+    incoming = stage(incoming, "incoming")
     hit = incoming.select(run_bucket(buckets).alias("run_bucket")).distinct()
     numbers = [r["run_bucket"] for r in hit.collect()]  # at most ``buckets`` of them
     touched = spark.read.parquet(path).filter(F.col("run_bucket").isin(numbers)) \
         .drop("run_bucket")
     merged = stage(upsert_rows(touched, incoming, KEYS, position, now), "upsert")
+    strays = merged.filter(~run_bucket(buckets).isin(numbers))
+    if not strays.isEmpty():
+        raise DataCheckError("merged rows fall into a partition that was not read")
     _by_bucket(merged, buckets).mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,20 +14,39 @@ from barloom.operators.bars import clean_bars
 
 # Accepted header names of the date column, in order of preference.
 DATE_HEADERS = ["Date", "date", "Datetime", "datetime"]
+# Bytes of a file in which its header line ends.
+HEADER_BYTES = 8192
 PRICE_HEADERS = ["Open", "High", "Low", "Close", "Volume"]
 
 
 def read_price_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """CSV rows as text plus the symbol, taken from the file stem.
 
-    All files of one read share a header layout; read other layouts separately and
-    union the bars.
+    All files of one read share a header line: Spark takes one file's for all. ``by_header``
+    groups files accordingly.
     """
     raw = spark.read.option("header", True).csv(path)
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
     return raw.withColumn("symbol", F.url_decode(stem))
 
 
+def by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files at ``path``, grouped by their header line; files without one are left out.
+
+    Only file names and header lines reach the driver, as with Spark's own file listing.
+    """
+    head = F.decode(F.substring(F.col("content"), 1, HEADER_BYTES), "UTF-8")
+    line = F.trim(F.regexp_extract(head, r"^\x{FEFF}?([^\r\n]*)", 1))
+    files = spark.read.format("binaryFile").load(path).select("path", line.alias("line")) \
+        .filter("line <> ''").collect()
+    groups: dict[str, list[str]] = {}
+    for row in sorted(files):
+        groups.setdefault(row["line"], []).append(row["path"])
+    if not groups:
+        raise DataCheckError("no price file with a header line")
+    return list(groups.values())
+
+
 def rows_to_bars(raw: DataFrame) -> DataFrame:
     """Pick the date header, coerce numbers, default missing columns."""
     found = [name for name in DATE_HEADERS if name in raw.columns]
@@ -49,11 +69,12 @@ def rows_to_bars(raw: DataFrame) -> DataFrame:
 
 def read_price_csv(spark: SparkSession, path: str | list[str],
                    symbols: Iterable[str] | None = None) -> DataFrame:
-    """Bars of one file or a whole folder of ``<SYMBOL>.csv`` files."""
-    raw = read_price_text(spark, path)
+    """Bars of one file or a whole folder of ``<SYMBOL>.csv`` files, each by its own header."""
+    parts = [rows_to_bars(read_price_text(spark, files)) for files in by_header(spark, path)]
+    bars = reduce(DataFrame.unionByName, parts)
     if symbols is not None:
-        raw = raw.filter(F.col("symbol").isin(list(symbols)))
-    return clean_bars(rows_to_bars(raw))
+        bars = bars.filter(F.col("symbol").isin(list(symbols)))
+    return clean_bars(bars)
 
 
 def read_bar_cache(spark: SparkSession, path: str) -> DataFrame:
@@ -66,8 +87,14 @@ def read_bar_cache(spark: SparkSession, path: str) -> DataFrame:
 
 def read_close_history(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Date text and close for the price-history query; unusable rows are skipped."""
-    raw = read_price_text(spark, path)
+    parts = [_closes(read_price_text(spark, files)) for files in by_header(spark, path)]
+    return reduce(DataFrame.unionByName, parts).filter("date is not null and close is not null")
+
+
+def _closes(raw: DataFrame) -> DataFrame:
     columns = {name.lower(): name for name in raw.columns}
-    close = to_number(F.col(columns["close"]))
-    return raw.select("symbol", F.col(columns["date"]).try_cast("date").alias("date"),
-                      close.alias("close")).filter("date is not null and close is not null")
+    date = next((columns[n.lower()] for n in DATE_HEADERS if n.lower() in columns), None)
+    if date is None or "close" not in columns:
+        raise DataCheckError("price file lacks a date or Close column")
+    return raw.select("symbol", F.col(f"`{date}`").try_cast("date").alias("date"),
+                      to_number(F.col(f"`{columns['close']}`")).alias("close"))

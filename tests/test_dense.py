@@ -185,3 +185,14 @@ def test_neighbour_sums(frame, returns, plan):
         want = dense_graph(returns[start:end + 1])[1] @ returns[plan.train_start]
         for j, name in enumerate(NAMES):
             assert got[(step, name)] == pytest.approx(want[j], abs=1e-9)
+
+
+def test_pair_filter_keeps_what_rounds_up_to_the_threshold():
+    import numpy as np
+    from barloom.config import GraphConfig
+    from barloom.operators.pairs import pair_filter
+    config = GraphConfig(pearson_threshold=0.813112998137, min_support=2.0)
+    none = np.zeros((1, 3))
+    stats = {"corr": np.array([[0.8131129981367, -0.8131129981367, 0.8131129]]), "both_up": none,
+             "both_down": none} | {k: none for k in ("up_a", "up_b", "down_a", "down_b")}
+    assert pair_filter(config)(stats).tolist() == [[True, True, False]]

@@ -248,3 +248,37 @@ def test_stacked_forecasts_keep_missing_gate(spark):
     without = spark.createDataFrame([("b",)], "model string")
     assert {r.model: r.gate for r in M.stack_forecasts([with_gate, without]).collect()} == \
         {"a": 0.5, "b": None}
+
+
+def test_upserts_with_the_clock_lose_no_stored_row(spark, tmp_path):
+    from barloom.operators.scoring import run_id, stored_run
+    from barloom.sinks.upsert import create_table, read_table, upsert_table
+    rows = spark.range(10).selectExpr(
+        "concat('T', id) ticker", "date'2020-01-01' as_of_date", "1.0D last_close",
+        "1.1D pred_close", "0.1D pred_return", "cast(null as double) graph_gate",
+        "cast(id as int) position")
+    old = spark.range(40).selectExpr("concat('old_', id) run").join(rows)
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "predictions")
+    create_table(stored_run(old, "m", F.col("run")).drop("position"), path)
+    for k in range(4):
+        upsert_table(spark, path, stored_run(rows, "m", run_id(f"new{k}")))
+    kept = read_table(spark, path)
+    assert kept.filter("prediction_run_id LIKE 'old%'").count() == 400
+    assert kept.filter("prediction_run_id LIKE 'new%'").count() == 40
+
+
+def test_price_files_are_read_by_their_own_headers(spark, tmp_path):
+    from barloom.sources.prices import read_close_history, read_price_csv
+    (tmp_path / "A.csv").write_text("Date,Open,High,Low,Close,Volume\n2020-01-01,1,2,0.5,1.5,10\n")
+    (tmp_path / "B.csv").write_text("datetime,Close,Volume\n2020-01-01,7,70\n2020-01-02,8,80\n")
+    (tmp_path / "C.csv").write_text("Date,Volume,Close,Low,High,Open\n2020-01-01,777,5,4.5,6,5.5\n")
+    (tmp_path / "D.csv").write_text("")
+    got = {(r["symbol"], str(r["date"])): (r["open"], r["high"], r["low"], r["close"], r["volume"])
+           for r in read_price_csv(spark, str(tmp_path)).collect()}
+    assert got == {("A", "2020-01-01"): (1, 2, 0.5, 1.5, 10),
+                   ("B", "2020-01-01"): (7, 7, 7, 7, 70), ("B", "2020-01-02"): (8, 8, 8, 8, 80),
+                   ("C", "2020-01-01"): (5.5, 6, 4.5, 5, 777)}
+    closes = read_close_history(spark, str(tmp_path)).collect()
+    assert sorted((r["symbol"], r["close"]) for r in closes) == [
+        ("A", 1.5), ("B", 7), ("B", 8), ("C", 5)]

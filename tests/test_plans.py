@@ -99,3 +99,15 @@ def test_run_items_limit_and_header(spark, stored_runs):
     assert header.row_count == 5
     with pytest.raises(ValueError):
         V.run_items(rows, "run_19990331", limit=0)
+
+
+def test_messages_are_parsed_once(spark):
+    from barloom.operators.ticks import parse_ticks
+    messages = spark.createDataFrame(
+        [(b"k", b'{"symbol": "A", "price": 1.5}', "t", 0, 1, None), (b"k", b"junk", "t", 0, 2, None),
+         (b"k", None, "t", 0, 3, None)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
+    ticks = parse_ticks(messages)
+    assert [(r["symbol"], r["price"]) for r in ticks.collect()] == [("A", 1.5)]
+    plan = ticks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("from_json") + plan.count("jsontostructs") == 1
