@@ -17,6 +17,8 @@ from barloom.session import stage
 # Largest chance that a pair just at the threshold shares no bucket.
 MISS = 1e-6
 PER_BAND = 5
+# 64-bit words of a set's sketch; sets of up to some thousand shingles are told apart by it.
+SKETCH = 16
 # Shingle hashes sent to Python's output at once.
 ROWS_OUT = 2000
 
@@ -37,11 +39,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     Equal sets are folded first, so groups of exact copies cost one row. The rest meets in banded
     buckets of a one-permutation signature. A bucket never emits its pairs: members that can be
-    linked to any other, judged by their shingles that no other set has, are held against one hub,
-    links are confirmed on full sets, and components are taken. A bucket with members of several
-    components goes into another round with hubs from its small components, twice as many each time,
-    until every bucket holds one component or has compared all that differ. So within the buckets no link between components is lost, and a pair at the threshold
-    shares no bucket with probability 1e-6.
+    linked to any other, judged by their shingles that no other set has, are held against one hub;
+    pairs whose sketches differ in more bits than the sets may in shingles are left out by the join,
+    the rest is confirmed on full sets, and components are taken. A bucket with members of several
+    components goes into another round with hubs from its small components, four times as many each
+    time, until every bucket holds one component or has compared all that differ. Both filters are
+    exact bounds, so within the buckets no link between components is lost, and a pair at the
+    threshold shares no bucket with probability 1e-6.
 
     Null and blank texts have no shingle and stay alone, as do rows whose id is null (component_id
     null, kept). Rows are judged by text: a repeated id on equal texts gives equal rows. Other
@@ -95,14 +99,18 @@ def _set_writer(width: int):
             for _, _, data, offsets in shingles.text_slices(batch.column(0)):
                 values, ends = shingles.shingle_sets(data, offsets, width)
                 prints = shingles.set_prints(values, ends)
+                sketches = shingles.odd_sketches(values, ends, SKETCH)
                 for k in range(0, len(prints), ROWS_OUT):
                     cut = ends[k:k + ROWS_OUT + 1]
                     held = values[cut[0]:cut[-1]].view(np.int64)
+                    bits = sketches[k:k + ROWS_OUT].reshape(-1).view(np.int64)
+                    steps = np.arange(len(cut), dtype=np.int32) * SKETCH
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(prints[k:k + ROWS_OUT], pa.binary()),
+                         pa.ListArray.from_arrays(pa.array(steps), pa.array(bits)),
                          pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)),
                                                   pa.array(held))],
-                        names=["node", "hashes"])
+                        names=["node", "sketch", "hashes"])
     return write
 
 
@@ -122,15 +130,15 @@ def _links(rows: DataFrame, groups: DataFrame, width: int, percent: int) -> Data
         members = _without(members, hubs, components(links))
         if members.isEmpty():
             return links
-        share *= 2
+        share *= 4
 
 
 def _sets(rows: DataFrame, groups: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """(node, hashes) of every group that shares a bucket, from the text of its first id."""
+    """(node, sketch, hashes) of every group that shares a bucket, from the text of its first id."""
     chosen = stage(groups.join(members.select("node").distinct(), "node", "left_semi")
                    .select(F.col("first_id").alias("doc_id")).distinct(), "chosen")
     texts = rows.join(chosen, "doc_id", "left_semi").select("text")
-    return (texts.mapInArrow(_set_writer(width), "node binary, hashes array<long>")
+    return (texts.mapInArrow(_set_writer(width), "node binary, sketch array<long>, hashes array<long>")
             .filter("node IS NOT NULL").dropDuplicates(["node"]))
 
 
@@ -175,14 +183,24 @@ def _hubs(members: DataFrame, share: int) -> DataFrame:
 
 
 def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between hubs and the members of their bucket that are in another component."""
-    hub = hubs.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"),
+    """Links between hubs and the members of their bucket that are in another component.
+
+    Sizes, shingles of one set alone and sketches bound the similarity from above, all within the
+    join: a pair that cannot reach the threshold is never emitted.
+    """
+    sketches = sets.select("node", "sketch")
+    members = members.join(sketches, "node")
+    hub = hubs.join(sketches.withColumnRenamed("sketch", "sketch_a"), "node").select(
+        "sketch_a", "bucket", F.col("node").alias("a"), F.col("n").alias("n_a"),
                       F.col("alone").alias("alone_a"), F.col("root").alias("root_a"))
     both = F.col("n") + F.col("n_a")
     most = F.least(F.col("n") - F.col("alone"), F.col("n_a") - F.col("alone_a"))
+    apart = sum((F.bit_count(F.get("sketch", F.lit(k)).bitwiseXOR(F.get("sketch_a", F.lit(k))))
+                 for k in range(SKETCH)), F.lit(0))
     pairs = stage(
         members.join(hub, "bucket").filter("root != root_a")
         .filter(100 * most >= percent * (both - most))
+        .filter((100 + percent) * apart <= (100 - percent) * both)
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"),
                 both.alias("both")).distinct(), "pairs")
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a")), "a")

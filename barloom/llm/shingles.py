@@ -134,6 +134,20 @@ def band_keys(signature: np.ndarray, per_band: int) -> np.ndarray:
     return keys
 
 
+def odd_sketches(values: np.ndarray, ends: np.ndarray, words: int) -> np.ndarray:
+    """rows x ``words``: the parity of how many shingles fall on each bit.
+
+    Sets that differ in d shingles have sketches that differ in at most d bits, so the count of
+    differing bits is a sure lower bound of the difference of the sets.
+    """
+    rows = len(ends) - 1
+    sketch = np.zeros(rows * words, U64)
+    slot = np.repeat(np.arange(rows), np.diff(ends)) * words \
+        + ((values >> U64(6)) % U64(words)).astype(np.int64)
+    np.bitwise_xor.at(sketch, slot, U64(1) << (values & U64(63)))
+    return sketch.reshape(rows, words)
+
+
 def set_prints(values: np.ndarray, ends: np.ndarray) -> list[bytes | None]:
     """16 bytes that name each row's whole set; None for an empty set."""
     sums = [np.append(U64(0), np.cumsum(mix(values ^ U64(salt)))) for salt in (1, 2)]

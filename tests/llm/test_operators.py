@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from barloom.llm import (bpe, decontam, embed_dedup, html_extract, minhash, pii, quality, sharding,
-                         toxicity, urls)
+                         shingles, toxicity, urls)
 from barloom.llm.components import components
 from barloom.llm.queries import BPE_FILE
 
@@ -260,3 +260,18 @@ def test_url_filter_edges_and_flow(spark):
     scores = {r["host"]: r["distrust"] for r in urls.judge(df, rules).collect()}
     assert scores["friend.net"] == pytest.approx(0.85 / 3, abs=1e-6)
     assert urls.judge(df.filter("page_id > 99"), rules).count() == 0
+
+
+def test_sketches_never_differ_by_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    sets = []
+    for size in (1, 7, 60, 900, 4000):
+        base = rng.integers(0, 2**64, size, dtype=np.uint64)
+        for gone in (0, 1, size // 5, size):
+            fresh = rng.integers(0, 2**64, gone, dtype=np.uint64)
+            sets.append(np.unique(np.append(base[gone:], fresh)))
+    ends = np.append(0, np.cumsum([len(s) for s in sets]))
+    bits = np.unpackbits(shingles.odd_sketches(np.concatenate(sets), ends, 16).view(np.uint8), axis=1)
+    for a in range(len(sets)):
+        for b in range(len(sets)):
+            assert (bits[a] != bits[b]).sum() <= len(np.setxor1d(sets[a], sets[b]))
