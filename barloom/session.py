@@ -81,3 +81,25 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = staging_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Staged tables of one turn of a loop, to be removed once later tables have taken their place."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def stage(self, df: DataFrame, label: str = "stage") -> DataFrame:
+        path = staging_path(self._spark, label)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Remove this turn's tables; nothing that is still to be computed may read them."""
+        jvm = self._spark._jvm
+        for path in self._paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self._paths.clear()
