@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import shingles
 from barloom.llm.components import components
-from barloom.session import stage
+from barloom.session import Scratch, stage
 
 # Largest chance that a pair just at the threshold shares no bucket.
 MISS = 1e-6
@@ -121,16 +121,18 @@ def _links(rows: DataFrame, groups: DataFrame, width: int, percent: int) -> Data
     members = stage(entries.join(shared, "bucket").select("bucket", "node", "n",
                                                           F.col("node").alias("root")), "members")
     sets = stage(_sets(rows, groups, members, width), "sets")
-    links, share = None, 1
+    links, share, last = None, 1, Scratch(rows.sparkSession)
     while True:
-        members = _viable(members, sets, percent)
-        hubs = stage(_hubs(members, share), "hubs")
-        found = _confirmed(members, hubs, sets, percent)
-        links = found if links is None else stage(links.union(found), "links")
-        members = _without(members, hubs, components(links))
+        now = Scratch(rows.sparkSession)
+        members = _viable(members, sets, percent, now)
+        hubs = now.stage(_hubs(members, share), "hubs")
+        found = _confirmed(members, hubs, sets, percent, now)
+        links = now.stage(found if links is None else links.union(found), "links")
+        members = _without(members, hubs, components(links, now), now)
+        last.clear()
         if members.isEmpty():
             return links
-        share *= 4
+        share, last = 4 * share, now
 
 
 def _sets(rows: DataFrame, groups: DataFrame, members: DataFrame, width: int) -> DataFrame:
@@ -142,7 +144,7 @@ def _sets(rows: DataFrame, groups: DataFrame, members: DataFrame, width: int) ->
             .filter("node IS NOT NULL").dropDuplicates(["node"]))
 
 
-def _viable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _viable(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Members that some other member may be linked to, with the number of shingles only they have.
 
     A shingle of one set alone is in no intersection, so a set with too many of them reaches the
@@ -153,18 +155,17 @@ def _viable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     alone = (held.select(owner, F.explode("hashes").alias("hash"))
              .groupBy("hash").agg(F.count("*").alias("sets"), F.min("owner").alias("owner"))
              .filter("sets = 1").groupBy("owner").agg(F.count("*").alias("alone")))
-    counted = members.withColumn("owner", owner).join(stage(alone, "alone"), "owner", "left").drop(
-        "owner").withColumn("alone", F.coalesce("alone", F.lit(0)))
-    return _mixed(stage(counted.filter(100 * (F.col("n") - F.col("alone"))
-                                       >= percent * F.col("n")), "viable"))
+    counted = (members.withColumn("owner", owner).join(alone, "owner", "left").drop("owner")
+               .withColumn("alone", F.coalesce("alone", F.lit(0))))
+    able = counted.filter(100 * (F.col("n") - F.col("alone")) >= percent * F.col("n"))
+    return _mixed(scratch.stage(able, "viable"), scratch)
 
 
-def _mixed(members: DataFrame) -> DataFrame:
+def _mixed(members: DataFrame, scratch: Scratch) -> DataFrame:
     """Members of buckets that hold more than one component."""
-    mixed = stage(members.groupBy("bucket").agg(F.min("root").alias("low"),
-                                                F.max("root").alias("high"))
-                  .filter("low != high").select("bucket"), "mixed")
-    return stage(members.join(mixed, "bucket").select(members.columns), "open")
+    mixed = (members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+             .filter("low != high").select("bucket"))
+    return scratch.stage(members.join(mixed, "bucket").select(members.columns), "open")
 
 
 def _hubs(members: DataFrame, share: int) -> DataFrame:
@@ -182,7 +183,8 @@ def _hubs(members: DataFrame, share: int) -> DataFrame:
         "bucket", "hub.one.node", "hub.one.n", "hub.one.alone", "hub.root")
 
 
-def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int,
+               scratch: Scratch) -> DataFrame:
     """Links between hubs and the members of their bucket that are in another component.
 
     Sizes, shingles of one set alone and sketches bound the similarity from above, all within the
@@ -197,7 +199,7 @@ def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: in
     most = F.least(F.col("n") - F.col("alone"), F.col("n_a") - F.col("alone_a"))
     apart = sum((F.bit_count(F.get("sketch", F.lit(k)).bitwiseXOR(F.get("sketch_a", F.lit(k))))
                  for k in range(SKETCH)), F.lit(0))
-    pairs = stage(
+    pairs = scratch.stage(
         members.join(hub, "bucket").filter("root != root_a")
         .filter(100 * most >= percent * (both - most))
         .filter((100 + percent) * apart <= (100 - percent) * both)
@@ -206,15 +208,15 @@ def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: in
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a")), "a")
     with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("set_b")), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return stage(with_b.select("a", "b", "both", common.alias("common"))
-                 .filter(100 * F.col("common") >= percent * (F.col("both") - F.col("common")))
-                 .select("a", "b"), "confirmed")
+    return (with_b.select("a", "b", "both", common.alias("common"))
+            .filter(100 * F.col("common") >= percent * (F.col("both") - F.col("common")))
+            .select("a", "b"))
 
 
-def _without(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
+def _without(members: DataFrame, hubs: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
     """Members not yet used as hub under their new roots, where a bucket still mixes components."""
-    rest = stage(members.select("bucket", "node", "n").join(
-        hubs.select("bucket", "node"), ["bucket", "node"], "left_anti"), "rest")
-    return _mixed(stage(rest.join(roots, "node", "left")
-                        .select("bucket", "node", "n", F.coalesce("root", "node").alias("root")),
-                        "rooted"))
+    rest = members.select("bucket", "node", "n").join(
+        hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
+    rooted = rest.join(roots, "node", "left").select(
+        "bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    return _mixed(scratch.stage(rooted, "rooted"), scratch)
