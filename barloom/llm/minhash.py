@@ -19,6 +19,8 @@ MISS = 1e-6
 PER_BAND = 5
 # 64-bit words of a set's sketch; sets of up to some thousand shingles are told apart by it.
 SKETCH = 16
+# Times as many hubs in each round as in the one before.
+GROWTH = 16
 # Shingle hashes sent to Python's output at once.
 ROWS_OUT = 2000
 
@@ -42,8 +44,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     linked to any other, judged by their shingles that no other set has, are held against one hub;
     pairs whose sketches differ in more bits than the sets may in shingles are left out by the join,
     the rest is confirmed on full sets, and components are taken. A bucket with members of several
-    components goes into another round with hubs from its small components, four times as many each
-    time, until every bucket holds one component or has compared all that differ. Both filters are
+    components goes into another round with hubs from its small components, ``GROWTH`` times as
+    many each time, until every bucket holds one component or has compared all that differ. Both filters are
     exact bounds, so within the buckets no link between components is lost, and a pair at the
     threshold shares no bucket with probability 1e-6.
 
@@ -132,7 +134,7 @@ def _links(rows: DataFrame, groups: DataFrame, width: int, percent: int) -> Data
         last.clear()
         if members.isEmpty():
             return links
-        share, last = 4 * share, now
+        share, last = GROWTH * share, now
 
 
 def _sets(rows: DataFrame, groups: DataFrame, members: DataFrame, width: int) -> DataFrame:
