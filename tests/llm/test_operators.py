@@ -239,6 +239,32 @@ def test_toxicity_learns_and_scores_edges(spark):
     assert toxicity.score(docs_of(spark, rows), empty).filter("score >= 0.5").count() == 0
 
 
+def test_toxic_phrases_of_ordinary_words_and_no_bound_on_the_lexicon(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = []
+    for k in range(240):
+        words = [rng.choice(["red", "hot", "cold", "dog", "sky", "sea"]) for _ in range(40)]
+        words = [w for a, w in zip(["", *words], words) if (a, w) != ("red", "dog")]
+        words[10:10] = ["red", "dog"] if k % 3 == 0 else ["red", "sky", "dog"]
+        rows.append((k, " ".join(words)))
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(240)], "doc_id long, toxic int")
+    model = toxicity.learn(docs_of(spark, rows), labels.filter(toxicity.learnable()))
+    assert "red dog" in {r["term"] for r in model.terms.collect()}
+    docs = docs_of(spark, [*rows, *rows[:2], (None, rows[0][1]), *edge_rows()])
+    looked_up = toxicity.score(docs, model).collect()
+    held_out = [r for r in looked_up if r["doc_id"] is not None and " " in (r["text"] or "") and "red" in r["text"]]
+    assert all((r["score"] >= 0.5) == ("red dog" in r["text"]) for r in held_out)
+    # A lexicon above the broadcast size is joined, to the same scores; a bound would lose terms.
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 0)
+    again = toxicity.learn(docs_of(spark, rows), labels.filter(toxicity.learnable()))
+    assert sorted(again.terms.collect()) == sorted(model.terms.collect())
+    assert again.threshold == model.threshold
+
+    def plain(found):
+        return sorted((r["doc_id"] or -1, r["text"] or "", r["score"]) for r in found)
+    assert plain(toxicity.score(docs, again).collect()) == plain(looked_up)
+
+
 def test_url_filter_edges_and_flow(spark):
     rules = [urls.Rule("block", "bad.org", "/"), urls.Rule("allow", "good.org", "/"),
              urls.Rule("allow", "bad.org", "/ok/")]
