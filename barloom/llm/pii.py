@@ -28,8 +28,24 @@ PATTERNS = {
     "card": r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)",
 }
 _FIND = re.compile("|".join(f"(?P<{kind}>{p})" for kind, p in PATTERNS.items()))
-# Every pattern needs one of these characters; texts without are not searched further.
-_NEEDED = re.compile(r"[0-9@=:]").search
+# Every pattern needs one of these; texts without are not searched further.
+_NEEDED = re.compile(r"[\d@=:]|AKIA").search
+
+
+def _zero(digit: str) -> str:
+    """The 0 of a decimal digit's script: every script has its ten digits in a row."""
+    return chr(ord(digit) - int(digit))
+
+
+def _plain(text: str) -> str:
+    """Decimal digits of any script as 0 to 9."""
+    return "".join(str(int(c)) if c.isdecimal() else c for c in text)
+
+
+def _in_script(digits: str, like: str) -> str:
+    """Digits 0 to 9 in the scripts of the digits of ``like``, its last one going on."""
+    zeros = [_zero(c) for c in like]
+    return "".join(chr(ord(zeros[min(k, len(zeros) - 1)]) + int(d)) for k, d in enumerate(digits))
 
 
 class Pseudonyms:
@@ -57,9 +73,10 @@ class Pseudonyms:
         return a * right + b
 
     def characters(self, value: str, tweak: str) -> str:
-        """Digits, small and capital letters permuted within their classes; the rest stays."""
-        spans = [(k, "0", 10) if "0" <= c <= "9" else (k, "a", 26) if "a" <= c <= "z" else
-                 (k, "A", 26) for k, c in enumerate(value) if c.isascii() and c.isalnum()]
+        """Digits of each script, a-z and A-Z permuted within their classes; the rest stays."""
+        spans = [(k, _zero(c), 10) if c.isdecimal() else (k, "a", 26) if "a" <= c <= "z" else
+                 (k, "A", 26) for k, c in enumerate(value)
+                 if c.isdecimal() or c.isascii() and c.isalnum()]
         sizes, number = [1, 1], 0
         for place, (k, base, radix) in enumerate(spans):
             sizes[place >= len(spans) // 2] *= radix
@@ -102,7 +119,7 @@ def _laid_out(value: str, compact: str) -> str:
 
 def _replaced(kind: str, value: str, names: Pseudonyms) -> str | None:
     """The pseudonym of a value, or None where it is not valid in its format."""
-    compact = re.sub(r"[^0-9A-Za-z]", "", value)
+    compact = "".join(c for c in value if c.isalnum())
     if kind == "email":
         local, at, domain = value.partition("@")
         return names.characters(local, f"email|{domain.lower()}") + at + domain
@@ -116,19 +133,21 @@ def _replaced(kind: str, value: str, names: Pseudonyms) -> str | None:
         if max(parts) > 255:
             return None
         number = names.permute(int.from_bytes(bytes(parts), "big"), 65_536, 65_536, "ip")
-        return ".".join(map(str, number.to_bytes(4, "big")))
+        return ".".join(_in_script(str(n), old) for n, old in zip(number.to_bytes(4, "big"),
+                                                                  value.split(".")))
     if kind == "date":
         return _date(value, names)
     if kind == "iban":
-        if iban_digits(compact[:2], compact[4:]) != compact[2:4]:
+        if iban_digits(compact[:2], compact[4:]) != _plain(compact[2:4]):
             return None
         account = names.characters(compact[4:], f"iban|{compact[:2]}")
-        return _laid_out(value, compact[:2] + iban_digits(compact[:2], account) + account)
+        check = _in_script(iban_digits(compact[:2], account), compact[2:4])
+        return _laid_out(value, compact[:2] + check + account)
     if kind == "card":
-        if luhn_digit(compact[:-1]) != compact[-1]:
+        if luhn_digit(compact[:-1]) != _plain(compact[-1]):
             return names.characters(value, "number")
         body = names.characters(compact[:-1], "card")
-        return _laid_out(value, body + luhn_digit(body))
+        return _laid_out(value, body + _in_script(luhn_digit(body), compact[-1]))
     if kind == "phone" and value[0] == "+":
         head = re.match(r"\+\d{1,3}(?=\D)|\+\d", value).end()
         return value[:head] + names.characters(value[head:], f"phone|{value[:head]}")
@@ -147,7 +166,7 @@ def _date(value: str, names: Pseudonyms) -> str | None:
         if not 1900 <= parts[y] <= 2099:
             return None
         shown = {y: f"{new.year:04d}", m: f"{new.month:02d}", d: f"{new.day:02d}"}
-        return sign.join(shown[k] for k in range(3))
+        return sign.join(_in_script(shown[k], old) for k, old in enumerate(value.split(sign)))
     return None
 
 
@@ -173,7 +192,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
     cards, other runs of 13 to 19 digits, access keys and passwords. Checked formats stay valid: check
     digits are made anew, addresses and days stay in range; a date or IBAN or address that is not
     valid is left as it is. A value maps to the same pseudonym in every document under one key, and
-    different values to different ones. Null stays null and empty stays empty, with nothing found;
+    different values to different ones. Digits of any script count, and are replaced by digits of the
+    same script. Null stays null and empty stays empty, with nothing found;
     all rows and other columns stay; columns named n_pii or pii_kinds are replaced.
     """
     fields = [T.StructField(text_col, T.StringType()), T.StructField("n_pii", T.LongType()),
