@@ -25,7 +25,12 @@ EPOCHS, RATE, DECAY = 12, 0.2, 1e-4
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark "
                    "q s samp small span strike strong sub sup time tt u var".split())
-RAW = "script|style|noscript|template|iframe|svg|object|canvas"
+RAW = "script|style"
+# Elements whose text is not the page's: up to their end, that of their parent, or at once for <.../>.
+DROPPED = frozenset("noscript template iframe svg object canvas".split())
+# Elements that end an open svg, unless they stand in its foreignObject.
+BREAKOUT = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr img li menu ol p pre "
+                     "ruby table ul".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -42,6 +47,7 @@ class Block:
     text: str
     above: tuple[str, ...]
     linked: int
+    chain: tuple[tuple[str, ...], ...] = ()  # features of each ancestor, outermost first
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -49,17 +55,20 @@ def blocks(page: str | None) -> list[Block]:
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
-    state = {"linked": 0, "in_link": 0}
+    state = {"linked": 0, "in_link": 0, "dropped": False}
 
     def close() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             above = tuple(sorted({f for _, names in stack for f in names}))
-            found.append(Block(text, above, min(state["linked"], len(text))))
+            found.append(Block(text, above, min(state["linked"], len(text)),
+                               tuple(names for _, names in stack)))
         parts.clear()
         state["linked"] = 0
 
     def take(text: str) -> None:
+        if state["dropped"]:
+            return
         parts.append(text)
         if state["in_link"]:
             state["linked"] += len(text.strip())
@@ -74,23 +83,38 @@ def blocks(page: str | None) -> list[Block]:
         if not name:
             continue
         ends = token.group(2)
+        if name in BREAKOUT and not ends and state["dropped"]:
+            names = [n for n, _ in stack]
+            if "svg" in names and "foreignobject" not in names:
+                del stack[names.index("svg"):]
+                state["dropped"] = any(n in DROPPED for n, _ in stack)
         if name in INLINE:
-            if name == "a":
+            if name == "a" and not state["dropped"]:
                 state["in_link"] = 0 if ends else 1
             continue
-        close()
         if ends:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-        elif name not in VOID:
-            # A new paragraph, item or cell ends an open one.
-            if stack and stack[-1][0] == name and name in ("p", "li", "option", "td", "tr", "dd"):
-                stack.pop()
-            words = {w for m in _NAMES.findall(token.group(4)) for n in m
-                     for w in re.findall(r"[a-z]+", n.lower())}
-            stack.append((name, (f"tag:{name}", *(f"name:{w}" for w in sorted(words)))))
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            outer = k is not None and not any(n in DROPPED for n, _ in stack[:k + 1])
+            if outer or not state["dropped"] and name not in DROPPED:
+                close()
+            if k is not None:
+                del stack[k:]
+                state["dropped"] = state["dropped"] and any(n in DROPPED for n, _ in stack)
+        elif name in DROPPED or state["dropped"]:
+            if name not in VOID and not token.group(4).rstrip().endswith("/"):
+                stack.append((name, ()))
+                state["dropped"] = True
+        else:
+            close()
+            if name not in VOID:
+                # A new paragraph, item or cell ends an open one.
+                if stack and stack[-1][0] == name and name in ("p", "li", "option", "td", "tr", "dd"):
+                    stack.pop()
+                # What a page's body is named says nothing of a block.
+                words = set() if name in ("html", "body") else {
+                    w for m in _NAMES.findall(token.group(4)) for n in m
+                    for w in re.findall(r"[a-z]+", n.lower())}
+                stack.append((name, (f"tag:{name}", *(f"name:{w}" for w in sorted(words)))))
     if at < len(page):
         take(page[at:])
     close()
@@ -99,7 +123,8 @@ def blocks(page: str | None) -> list[Block]:
 
 def features(block: Block) -> tuple[str, ...]:
     size = len(block.text)
-    return (*block.above, f"size:{min(int(math.log2(size + 1)), 10)}",
+    near = next((c for c in reversed(block.chain) if _marks(c)), ())
+    return (*block.above, *(f"near:{f}" for f in near or ("none",)), f"size:{min(int(math.log2(size + 1)), 10)}",
             f"links:{round(4 * block.linked / size)}",
             f"ends:{block.text[-1] if block.text[-1] in '.!?:' else 'other'}",
             f"marks:{min(block.text.count('.') + block.text.count(','), 4)}", "any")
@@ -173,12 +198,32 @@ _OTHER_TAGS = {f"tag:{t}" for t, names in OTHER if not names} | {"tag:title", "t
 _OTHER_NAMES = {f"name:{w}" for _, names in OTHER for w in names.split()}
 _MAIN_MARKS = {"tag:article", "tag:main"} | {
     f"name:{w}" for _, names in MAIN for w in names.split()}
+_OTHER_MARKS = _OTHER_TAGS | _OTHER_NAMES
+_ALL_MARKS = _MAIN_MARKS | _OTHER_MARKS
+# Wrappers that do not mark main text; the first is none at all.
+UNMARKED = ["", '<div id="page">', '<div class="wrapper">', '<div class="container">', "<div>",
+            '<div id="root">', "<section>"]
+WRAPPERS = ["header", "menu", "ad", "sidebar", "related", "notice"]
+
+
+def _marks(names: tuple[str, ...]) -> bool:
+    return not _ALL_MARKS.isdisjoint(names)
 
 
 def place_label(block: Block) -> int:
-    """1 for a block under a container of main text and under none of the others."""
-    above = set(block.above)
-    return int(bool(above & _MAIN_MARKS) and not above & (_OTHER_TAGS | _OTHER_NAMES))
+    """1 for a block whose nearest marked ancestor is a container of main text.
+
+    One that only its names mark must not stand in any of the others; what stands around an article
+    or main element, such as a wrapper named menu, does not matter.
+    """
+    named = 0
+    for names in reversed(block.chain):
+        if not _OTHER_MARKS.isdisjoint(names):
+            return 0
+        if "tag:article" in names or "tag:main" in names:
+            return 1
+        named = named or int(not _MAIN_MARKS.isdisjoint(names))
+    return named
 
 
 def laid_out_page(rng: random.Random) -> str:
@@ -209,11 +254,38 @@ def laid_out_page(rng: random.Random) -> str:
     return f"<html><head><title>{words(2, 8)}</title></head><body>{''.join(parts)}</body></html>"
 
 
+def unmarked_page(rng: random.Random) -> tuple[list[Block], list[int]]:
+    """Blocks and labels of a page whose main text no name marks, or one in a misnamed wrapper.
+
+    The labels are those of the same page with its main text in an article, block by block.
+    """
+    page, tag = "", ""
+    while not tag:
+        page = laid_out_page(rng)
+        tag = "article" if page.count("<article>") == 1 else ""
+    gold = [place_label(b) for b in blocks(page)]
+    if rng.random() < 0.3:
+        around = f'<div class="{rng.choice(WRAPPERS)}">'
+        page = page.replace("<body>", f"<body>{around}").replace("</body>", "</div></body>")
+    else:
+        around = rng.choice(UNMARKED)
+        page = page.replace("<article>", around).replace(
+            "</article>", around and f"</{around[1:].split()[0].rstrip('>')}>")
+    cut = blocks(page)
+    return (cut, gold) if len(cut) == len(gold) else unmarked_page(rng)
+
+
 def fit(pages: list[str], seed: int = 11) -> Crf:
-    """A CRF fitted on ``pages`` and on laid out ones, all labelled by ``place_label``."""
+    """A CRF fitted on ``pages`` and on laid out ones.
+
+    Labels come from ``place_label``, but for the pages without marked main text: given ones teach
+    nothing, as theirs is not known, and laid out ones (as many again) know theirs.
+    """
     rng, model = random.Random(seed), Crf()
     cut = [blocks(p) for p in [*pages, *(laid_out_page(rng) for _ in range(LAID_OUT_PAGES))]]
-    known = [(page, [place_label(b) for b in page]) for page in cut if page]
+    known = [(page, [place_label(b) for b in page]) for page in cut]
+    known = [(page, gold) for page, gold in known if any(gold)]
+    known += [unmarked_page(rng) for _ in range(LAID_OUT_PAGES)]
     for epoch in range(EPOCHS):
         rng.shuffle(known)
         for page, gold in known:

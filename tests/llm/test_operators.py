@@ -207,6 +207,17 @@ def test_html_blocks_and_extraction(spark):
     assert model.decode(page) == [best >> k & 1 for k in range(len(page))]
 
 
+def test_html_dropped_elements_end_with_their_parent():
+    def texts(page):
+        return [b.text for b in html_extract.blocks(page)]
+    for element in ("svg", "object", "canvas", "iframe", "noscript", "template"):
+        assert texts(f'<article><p>One.</p><{element} width="4"/><p>Two</p></article>') == ["One.", "Two"]
+        assert texts(f"<div><b>One</b><{element} x=y>no</div><p>Two</p>") == ["One", "Two"]
+        assert texts(f"<p>O<{element}>no<i>no</i></{element}>ne</p>") == ["One"]
+    assert texts("<p>One<svg><path d='M'/><text>no</text><p>Two</p>") == ["One", "Two"]
+    assert texts("<svg><foreignObject><p>no</p></foreignObject></svg>a<script>b<p>c") == ["a"]
+
+
 def test_near_vectors_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "CELL_ROWS", 20)
     rng = np.random.default_rng(2)
