@@ -218,6 +218,23 @@ def test_html_dropped_elements_end_with_their_parent():
     assert texts("<svg><foreignObject><p>no</p></foreignObject></svg>a<script>b<p>c") == ["a"]
 
 
+def test_html_main_text_without_marks():
+    model = html_extract.fit([])
+    main = "<h1>Some words here</h1>" + "<p>A sentence of some words, as they come, stands here.</p>" * 4
+    want = " ".join(b.text for b in html_extract.blocks(main))
+    rest = "<nav><li><a href=x>Menu</a></nav>", "<footer>Someone</footer>"
+    for low, high in [("", ""), ("<div id=page>", "</div>"), ("<div class=menu><article>", "</article></div>")]:
+        assert html_extract.main_text(f"<body>{rest[0]}{low}{main}{high}{rest[1]}</body>", model) == want
+    page = f"<body class='right-sidebar'>{rest[0]}<article>{main}</article>{rest[1]}</body>"
+    assert html_extract.main_text(page, model) == want
+    rng, wrong, n = random.Random(3), 0, 0
+    for _ in range(100):
+        page, gold = html_extract.unmarked_page(rng)
+        wrong += sum(a != b for a, b in zip(model.decode(page), gold))
+        n += len(page)
+    assert wrong / n < 0.03
+
+
 def test_near_vectors_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "CELL_ROWS", 20)
     rng = np.random.default_rng(2)
