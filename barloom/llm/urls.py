@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*([^"'\s>]+)"""
 DAMPING = 0.85
+# Rounds that the SQL check spells out; the flow itself runs until it is still.
 ROUNDS = 20
 THRESHOLD = 0.5
 # Smallest change of a score that counts as one.
@@ -37,14 +39,15 @@ def path_of(url: Column) -> Column:
 
 
 def judge(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD,
-          damping: float = DAMPING, rounds: int = ROUNDS, id_col: str = "page_id",
+          damping: float = DAMPING, rounds: int | None = None, id_col: str = "page_id",
           url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), one row per row of ``pages``.
 
     The longest rule that fits a url decides. What no rule fits is decided per host: seeds are the
     shares of a host's pages that rules allow (trust) and block (distrust). Trust flows along the
     links between hosts, split by number of links, distrust against them; both decay by ``damping``
-    per step, for ``rounds`` steps or until nothing changes. A host whose distrust exceeds its
+    per step, until nothing changes (by more than STILL), or for ``rounds`` steps where given. Steps
+    shrink the change of all scores together by ``damping``, which lies below 1. A host whose distrust exceeds its
     trust by ``threshold`` or more is blocked.
 
     Pages fold to hosts and links to weighted host edges before any join, links within a host
@@ -96,7 +99,8 @@ def _flows(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
         "kind", "src", "dst", (F.col("links") / F.col("total")).alias("share"))
 
 
-def _propagated(seeds: DataFrame, flows: DataFrame, damping: float, rounds: int) -> DataFrame:
+def _propagated(seeds: DataFrame, flows: DataFrame, damping: float,
+                rounds: int | None) -> DataFrame:
     """(host, trust, distrust) after the flow; hosts that are only linked to start from 0."""
     start = seeds.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust)")
                          .alias("kind", "seed"))
@@ -104,7 +108,7 @@ def _propagated(seeds: DataFrame, flows: DataFrame, damping: float, rounds: int)
     start = stage(start.groupBy("host", "kind").agg(F.sum("seed").alias("seed")), "start")
     scores = start.withColumn("score", F.col("seed"))
     if not flows.isEmpty():
-        for _ in range(rounds):
+        for _ in count() if rounds is None else range(rounds):
             got = (flows.join(scores.select("kind", F.col("host").alias("src"), "score"),
                               ["kind", "src"])
                    .groupBy("kind", F.col("dst").alias("host"))
