@@ -11,12 +11,20 @@ from pyspark.sql import functions as F
 
 from barloom.llm import bpe, decontam, minhash, pii, toxicity
 from barloom.llm.queries import BPE_FILE, PII_KEY, table
+from barloom.session import stage as stage_table
 from barloom.session import staging_path
 
+# Rows of a side up to which it is broadcast; above it both sides are shuffled.
+BROADCAST_ROWS = 500_000
+
 # Learnt scores, hash signatures and merges have no SQL form; tests/llm states the stages plainly.
 ORACLE_SQL = None
 
 
+def _sized(side: DataFrame) -> DataFrame:
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half; learnt on the labelled ones among them."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(toxicity.learnable()))
@@ -25,17 +33,45 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    found = minhash.near_duplicates(docs, width=5, percent=80)
-    gone = found.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more.
+
+    Texts are compared, whatever their ids; a group keeps one row of its smallest id, null last.
+    Texts without a word stay.
+    """
+    rows = docs.select("doc_id", "text", F.md5("text").alias("print")).filter("text IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "n")).alias("first")
+    prints = stage_table(
+        rows.groupBy("print", "doc_id").agg(F.count("*").alias("n")).groupBy("print").agg(first)
+        .select("print", "first.*").withColumn("number", F.monotonically_increasing_id()), "prints")
+    found = stage_table(minhash.near_duplicates(
+        rows.join(_sized(prints), "print").select("number", "text"), width=5, percent=80,
+        id_col="number").select(F.col("doc_id").alias("number"), "n_shingles", "component_id").distinct(),
+        "near")
+    known = prints.join(found, "number")
+    best = known.filter("n_shingles > 0").groupBy("component_id").agg(
+        F.min(F.struct("unknown", "doc_id", "number", "print", "n")).alias("best"))
+    kept = stage_table(best.select("best.print", "best.doc_id", "best.n"), "kept")
+
+    def of(some: DataFrame) -> DataFrame:
+        right = _sized(some).alias("kept")
+        same = (F.md5("docs.text") == F.col("kept.print")) & F.col("docs.doc_id").eqNullSafe(
+            F.col("kept.doc_id"))
+        return docs.alias("docs").join(right, same).select("docs.*", "kept.print")
+    # Only rows that share id and text with another one are folded.
+    whole = F.struct(*docs.columns)
+    repeated = of(kept.filter("n > 1")).groupBy("print").agg(F.min(whole).alias("one")).select("one.*")
+    wordless = stage_table(known.filter("n_shingles = 0").select("print"), "wordless")
+    blank = docs.join(_sized(wordless), F.md5("text") == F.col("print"), "left_semi")
+    return (of(kept.filter("n = 1")).select(docs.columns).union(repeated.select(docs.columns))
+            .union(blank.select(docs.columns)).union(docs.filter("text IS NULL")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages in a twentieth or more of their words."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.filter("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Documents without benchmark passages in a twentieth or more of their words, judged by text."""
+    rows = docs.select("text", F.md5("text").alias("print"))
+    found = decontam.contamination(rows, table(spark, sf_dir, "benchmark"), id_col="print")
+    gone = found.filter("contaminated").select(F.col("doc_id").alias("print")).distinct()
+    return docs.join(gone, F.md5("text") == F.col("print"), "left_anti").select(docs.columns)
 
 
 def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
