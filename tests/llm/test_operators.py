@@ -342,10 +342,10 @@ def test_url_flow_runs_until_it_is_still(spark):
             (3, "http://bad.org/", link.format("a.org"))]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["host"]: r["trust"] for r in urls.judge(df, [urls.Rule("allow", "bad.org", "/")],
-                                                     damping=0.6).collect()}
-    # a = 0.6 (1 + b), b = 0.6 a
-    a = 0.6 / (1 - 0.36)
-    assert got == {"bad.org": 1.0, "a.org": round(a, 9), "b.org": round(0.6 * a, 9)}
+                                                     damping=0.4).collect()}
+    # a = 0.4 (1 + b), b = 0.4 a
+    a = 0.4 / (1 - 0.16)
+    assert got == {"bad.org": 1.0, "a.org": round(a, 9), "b.org": round(0.4 * a, 9)}
 
 
 def test_sketches_never_differ_by_more_than_the_sets():
