@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import (bpe, checks, decontam, embed_dedup, html_extract, minhash, pii, quality,
-                         sharding, toxicity, urls)
+from barloom.llm import (bpe, checks, decontam, embed_dedup, hard_negatives, html_extract, merkle,
+                         minhash, pii, quality, sharding, suffix_dedup, toxicity, urls)
 from barloom.session import ship_package
 
 SHARDS = [f"shard-{k:03d}" for k in range(96)]
@@ -78,13 +78,45 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["stop"] - s["start"]))
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.col("text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaves = docs.select("doc_id", "source", merkle.leaf(*columns, text).alias("leaf"), F.when(
+        tampered & text.contains("\n"), merkle.leaf(*columns, F.replace(text, F.lit("\n"), F.lit(""))))
+        .alias("new_leaf"))
+    proofs = merkle.manifest(leaves, "source", "doc_id", "leaf", "new_leaf").leaves
+    return proofs.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+                         F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"),
+                         "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_sharding, op3_decontamination, op4_bpe, op5_quality, op6_pii, op7_html,
-    op8_embedding_dedup, op9_toxicity, op10_url_filter)}
+    op8_embedding_dedup, op9_toxicity, op10_url_filter, op11_hard_negatives, op12_suffix_dedup,
+    op13_merkle)}
 ORACLES = {
     "op1_minhash": checks.OP1_SQL,
     "op2_sharding": checks.op2_sql(SHARDS),
     "op3_decontamination": checks.OP3_SQL,
     "op8_embedding_dedup": checks.OP8_SQL,
     "op10_url_filter": checks.OP10_SQL,
+    "op11_hard_negatives": checks.OP11_SQL,
+    "op12_suffix_dedup": checks.OP12_SQL,
+    "op13_merkle": checks.OP13_SQL,
 }

@@ -30,7 +30,8 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, size: int = SLICE_BYTES
+                ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) for runs of rows; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -41,7 +42,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
     start = 0
     while start < len(column):
-        stop = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, side="right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
         stop = min(max(stop, start + 1), len(column))
         yield (start, stop, data[offsets[start]:offsets[stop]],
                offsets[start:stop + 1] - offsets[start])
