@@ -14,11 +14,11 @@ from barloom.llm.shingles import U64, mix, text_slices
 from barloom.session import Scratch, stage
 
 # Bytes of text parsed at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 18
 # Distinct entries of one trigger that are sorted together; a trigger with more is cut into blocks.
 BLOCK_ENTRIES = 4_096
 # Bytes of entries that a task sorts at once, whole blocks of any number of triggers.
-SORTED_BYTES = 4 << 20
+SORTED_BYTES = 1 << 20
 # Rows of results handed on at once.
 ROWS_OUT = 2_000
 # The rows without an id come after all others.
