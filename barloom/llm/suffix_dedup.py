@@ -16,7 +16,7 @@ from barloom.session import Scratch, stage
 # Bytes of text parsed at once.
 SLICE_BYTES = 1 << 18
 # Distinct entries of one trigger that are sorted together; a trigger with more is cut into blocks.
-BLOCK_ENTRIES = 4_096
+BLOCK_ENTRIES = 512
 # Bytes of entries that a task sorts at once, whole blocks of any number of triggers.
 SORTED_BYTES = 1 << 20
 # Rows of results handed on at once.
