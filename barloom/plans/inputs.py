@@ -16,6 +16,8 @@ from barloom.operators.features import engineer_features
 from barloom.operators.samples import by_t, StepPlan, plan_steps
 from barloom.operators.scaling import apply_minmax, fit_minmax
 from barloom.operators.ticks import parse_ticks
+from barloom.session import staging_path
+from barloom.sinks.run_store import RunStore
 
 TOPIC = "stock-price"
 BACKTEST = BacktestConfig(lookback=20, test_days=20, initial_train=200, val_days=20)
@@ -136,6 +138,19 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("known"), F.col("gate")).alias("graph_gate"), "created_at")
 
 
+_stores: dict[tuple[str, str], RunStore] = {}
+
+
+def prediction_store(spark: SparkSession, sf_dir: str) -> RunStore:
+    """The predictions as a stored table, written once per application and source."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stores:
+        store = RunStore(spark, staging_path(spark, "stored-predictions"))
+        store.create(predictions(spark, sf_dir))
+        _stores[key] = store
+    return _stores[key]
+
+
 def scaled_panel(panel: DataFrame, plan: StepPlan, columns: list[str]) -> DataFrame:
     params = fit_minmax(panel, plan.train_start, plan.initial_end, columns)
     return apply_minmax(panel, params, columns)

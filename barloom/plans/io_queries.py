@@ -11,11 +11,11 @@ from barloom.operators.bars import BAR_COLUMNS
 from barloom.plans import inputs
 from barloom.plans.oracle_prefix import BARS, MESSAGES, PREDICTION_PREFIX, TICK_PREFIX
 from barloom.plans.registry import query
-from barloom.plans.tick_queries import BAR_SPEC, TICK_SPEC, rerun_rows
+from barloom.plans.tick_queries import BAR_SPEC, PREDICTION_SPEC, TICK_SPEC, UPSERT_SQL, rerun_rows
 from barloom.session import stage, staging_path
 from barloom.sinks import files
 from barloom.sinks.publish import message_frame, tick_messages
-from barloom.sinks.upsert import create_table, read_table, upsert_table
+from barloom.sinks.run_store import RunStore
 from barloom.sources import documents, messages, prices, tables
 
 NO_PREFIX = "one AS (SELECT 1)"
@@ -76,16 +76,26 @@ def published_ticks(spark, sf_dir):
     return K.parse_ticks(messages.read_message_files(spark, path))
 
 
-@query("snk5_upserted_table", "prediction_run_id ticker pred_close:f", PREDICTION_PREFIX, """
-SELECT prediction_run_id, ticker, CASE WHEN model_name = 'model_odd' THEN pred_close * 1.02
-    ELSE pred_close END AS pred_close FROM preds
-UNION ALL SELECT 're' || prediction_run_id, ticker, pred_close FROM preds""")
+@query("snk5_upserted_table", PREDICTION_SPEC, PREDICTION_PREFIX, UPSERT_SQL)
 def upserted_table(spark, sf_dir):
-    path = staging_path(spark, "predictions")
+    store = RunStore(spark, staging_path(spark, "predictions"))
     preds = stage(inputs.predictions(spark, sf_dir))
-    create_table(preds, path)
-    upsert_table(spark, path, rerun_rows(preds))
-    return read_table(spark, path)
+    store.create(preds)
+    store.upsert(rerun_rows(preds), now=F.to_timestamp(F.lit("2030-01-01 00:00:00")))
+    return store.rows()
+
+
+@query("snk5_run_directory", "prediction_run_id as_of_date:d model_name row_count:i "
+       "first_created_at:t last_created_at:t", PREDICTION_PREFIX, f"""
+SELECT prediction_run_id, as_of_date, model_name, count(*) AS row_count,
+    min(created_at) AS first_created_at, max(created_at) AS last_created_at
+FROM ({UPSERT_SQL}) u GROUP BY 1, 2, 3""")
+def run_directory(spark, sf_dir):
+    store = RunStore(spark, staging_path(spark, "predictions"))
+    preds = stage(inputs.predictions(spark, sf_dir))
+    store.create(preds)
+    store.upsert(rerun_rows(preds), now=F.to_timestamp(F.lit("2030-01-01 00:00:00")))
+    return store.runs()
 
 
 @query("prj3_numeric_text", "event_id:i number:f", NO_PREFIX, """

@@ -16,7 +16,7 @@ ONE_RUN = "run_19990331"
 
 
 def _run(spark, sf_dir):
-    return V.of_latest_run(inputs.predictions(spark, sf_dir))
+    return inputs.prediction_store(spark, sf_dir).latest()
 
 
 @query("src_predictions", ITEM_SPEC, PREDICTION_PREFIX, "SELECT * FROM preds")
@@ -26,7 +26,8 @@ def predictions(spark, sf_dir):
 
 @query("agg1_latest_run", "prediction_run_id", PREDICTION_PREFIX, "SELECT * FROM last_run")
 def latest_run(spark, sf_dir):
-    return V.latest_run(inputs.predictions(spark, sf_dir))
+    directory = inputs.prediction_store(spark, sf_dir).runs()
+    return V.latest_run(directory.withColumnRenamed("last_created_at", "created_at"))
 
 
 @query("jn1_latest_run_rows", ITEM_SPEC, PREDICTION_PREFIX, "SELECT * FROM run")
@@ -44,12 +45,12 @@ FROM preds GROUP BY 1, 2, 3 ORDER BY last_created_at DESC, prediction_run_id DES
 
 @query("agg2_recent_runs", RUN_SPEC, PREDICTION_PREFIX, RUN_SQL.format(n=10))
 def recent_runs(spark, sf_dir):
-    return V.recent_runs(inputs.predictions(spark, sf_dir))
+    return V.recent_runs(inputs.prediction_store(spark, sf_dir).runs())
 
 
 @query("agg3_latest_run_metadata", RUN_SPEC, PREDICTION_PREFIX, RUN_SQL.format(n=1))
 def latest_run_metadata(spark, sf_dir):
-    return V.latest_run_metadata(inputs.predictions(spark, sf_dir))
+    return V.latest_run_metadata(inputs.prediction_store(spark, sf_dir).runs())
 
 
 @query("agg4_dashboard_summary", "prediction_run_id model_name as_of_date:d row_count:i "
@@ -60,7 +61,7 @@ SELECT prediction_run_id, max(model_name) AS model_name, max(as_of_date) AS as_o
     avg(pred_return) AS avg_pred_return, max(pred_return) AS max_pred_return,
     min(pred_return) AS min_pred_return, max(created_at) AS last_updated FROM run GROUP BY 1""")
 def dashboard_summary(spark, sf_dir):
-    return V.dashboard_summary(inputs.predictions(spark, sf_dir))
+    return V.dashboard_summary(_run(spark, sf_dir))
 
 
 @query("agg5_run_headers", "prediction_run_id as_of_date:d model_name row_count:i",
@@ -74,7 +75,7 @@ def run_headers(spark, sf_dir):
 @query("flt3_run_items", ITEM_SPEC, PREDICTION_PREFIX,
        f"SELECT * FROM preds WHERE prediction_run_id = '{ONE_RUN}'")
 def run_items(spark, sf_dir):
-    return V.run_items(inputs.predictions(spark, sf_dir), ONE_RUN)
+    return V.run_items(inputs.prediction_store(spark, sf_dir).run(ONE_RUN), ONE_RUN)
 
 
 @query("set4_tickers", "ticker", PREDICTION_PREFIX, "SELECT DISTINCT ticker FROM preds")
@@ -98,7 +99,8 @@ def search_counter(spark, sf_dir):
 @query("top3_ticker_history", ITEM_SPEC, PREDICTION_PREFIX,
        "SELECT * FROM preds WHERE ticker = '2-HIGH' ORDER BY created_at DESC LIMIT 30")
 def ticker_history(spark, sf_dir):
-    return V.ticker_history(inputs.predictions(spark, sf_dir), "2-HIGH")
+    rows = inputs.prediction_store(spark, sf_dir).newest_of("2-HIGH", 30)
+    return V.ticker_history(rows, "2-HIGH", 30)
 
 
 @query("prj12_history_timeline", "ticker label created_at:t pred_close:f actual:f confidence:f",

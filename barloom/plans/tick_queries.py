@@ -157,8 +157,9 @@ def rerun_rows(preds):
     return first.unionByName(second).unionByName(rerun)
 
 
-@query("snk5_upsert", "prediction_run_id as_of_date:d model_name ticker last_close:f pred_close:f "
-       "pred_return:f graph_gate:f created_at:t", PREDICTION_PREFIX, """
+PREDICTION_SPEC = ("prediction_run_id as_of_date:d model_name ticker last_close:f pred_close:f "
+                   "pred_return:f graph_gate:f created_at:t")
+UPSERT_SQL = """
 SELECT prediction_run_id, as_of_date, model_name, ticker, last_close,
     CASE WHEN model_name = 'model_odd' THEN pred_close * 1.02 ELSE pred_close END AS pred_close,
     pred_return, graph_gate,
@@ -166,7 +167,10 @@ SELECT prediction_run_id, as_of_date, model_name, ticker, last_close,
         AS created_at FROM preds
 UNION ALL
 SELECT 're' || prediction_run_id, as_of_date, model_name, ticker, last_close, pred_close,
-    pred_return, graph_gate, TIMESTAMP '2030-01-01 00:00:00' FROM preds""")
+    pred_return, graph_gate, TIMESTAMP '2030-01-01 00:00:00' FROM preds"""
+
+
+@query("snk5_upsert", PREDICTION_SPEC, PREDICTION_PREFIX, UPSERT_SQL)
 def upsert(spark, sf_dir):
     preds = stage(inputs.predictions(spark, sf_dir))
     now = F.to_timestamp(F.lit("2030-01-01 00:00:00"))

@@ -1,15 +1,11 @@
-"""Keyed upsert of prediction rows."""
+"""Keyed upsert of prediction rows; ``run_store`` keeps them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.guards import DataCheckError
-from barloom.session import stage
-
 KEYS = ["prediction_run_id", "ticker"]
-BUCKETS = 16
 
 
 def last_per_key(incoming: DataFrame, keys: list[str] = KEYS,
@@ -32,54 +28,3 @@ def upsert_rows(target: DataFrame, incoming: DataFrame, keys: list[str] = KEYS,
         fresh = fresh.withColumn("created_at", now)
     return target.join(fresh.select(*keys), keys, "left_anti").unionByName(
         fresh.select(*target.columns))
-
-
-def run_bucket(buckets: int, run: Column | None = None) -> Column:
-    run = run if run is not None else F.col("prediction_run_id")
-    return F.pmod(F.xxhash64(run), F.lit(buckets)).cast("int")
-
-
-def _by_bucket(rows: DataFrame, buckets: int):
-    # Rebalancing evens out task sizes, so that a large bucket is written by several tasks.
-    return rows.withColumn("run_bucket", run_bucket(buckets)).hint("rebalance", "run_bucket") \
-        .write.partitionBy("run_bucket")
-
-
-def create_table(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """First load of the predictions table, partitioned by a hash of the run id."""
-    _by_bucket(rows, buckets).mode("errorifexists").parquet(path)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("run_bucket")
-
-
-def read_run(spark: SparkSession, path: str, run_id: str, buckets: int = BUCKETS) -> DataFrame:
-    """Rows of one run; its bucket prunes the scan to one partition."""
-    return spark.read.parquet(path).filter(
-        (F.col("run_bucket") == run_bucket(buckets, F.lit(run_id)))
-        & (F.col("prediction_run_id") == run_id)).drop("run_bucket")
-
-
-def upsert_table(spark: SparkSession, path: str, incoming: DataFrame,
-                 position: str = "position", now: Column | None = None,
-                 buckets: int = BUCKETS) -> None:
-    """Upsert into the stored predictions table; ``buckets`` as at its creation.
-
-    Only the partitions that incoming runs hash to are read and replaced: the bucket
-    numbers prune the scan. Their new content is staged in full before they are
-    overwritten, so no path is read while it is written. The incoming rows are staged
-    first: a run id or clock in them is evaluated once, and the partitions that are read
-    are the ones that are replaced.
-    """
-    incoming = stage(incoming, "incoming")
-    hit = incoming.select(run_bucket(buckets).alias("run_bucket")).distinct()
-    numbers = [r["run_bucket"] for r in hit.collect()]  # at most ``buckets`` of them
-    touched = spark.read.parquet(path).filter(F.col("run_bucket").isin(numbers)) \
-        .drop("run_bucket")
-    merged = stage(upsert_rows(touched, incoming, KEYS, position, now), "upsert")
-    strays = merged.filter(~run_bucket(buckets).isin(numbers))
-    if not strays.isEmpty():
-        raise DataCheckError("merged rows fall into a partition that was not read")
-    _by_bucket(merged, buckets).mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").parquet(path)

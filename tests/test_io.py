@@ -11,11 +11,12 @@ from barloom.guards import DataCheckError
 from barloom.operators import metrics as M
 from barloom.operators import quality as Q
 from barloom.operators import scoring
+from barloom.operators import serving as V
 from barloom.operators import ticks as K
 from barloom.sinks import files, relational
 from barloom.sinks.publish import message_frame, tick_messages
-from barloom.sinks.upsert import (create_table, last_per_key, read_table, run_bucket, upsert_rows,
-                                  upsert_table)
+from barloom.sinks.run_store import RunStore
+from barloom.sinks.upsert import last_per_key, upsert_rows
 from barloom.sources import documents, messages, prices, tables
 from tests.panels import bars, day
 from tests.test_golden import PREDICTION, at
@@ -189,24 +190,89 @@ def stored(spark, run, values, hour):
         PREDICTION)
 
 
-def test_upsert_table_touches_only_its_runs(spark, tmp_path):
-    path = str(tmp_path / "preds")
-    create_table(stored(spark, "r1", {"A": 1.0, "B": 2.0}, 1).unionByName(
-        stored(spark, "r2", {"A": 5.0}, 2)), path)
-    ids = spark.createDataFrame([("r1",), ("r2",), ("r3",)], "prediction_run_id string")
-    bucket = {r[0]: r[1] for r in ids.select("prediction_run_id", run_bucket(16)).collect()}
-    assert bucket["r2"] not in (bucket["r1"], bucket["r3"])
-    untouched = {p.name for p in Path(path).glob(f"run_bucket={bucket['r2']}/*.parquet")}
-    assert untouched
-    incoming = stored(spark, "r1", {"B": 9.0, "C": 3.0}, 3).unionByName(
-        stored(spark, "r3", {"A": 7.0}, 3)).withColumn("position", F.lit(0))
-    for _ in range(2):  # a second run of the same upsert changes nothing
-        upsert_table(spark, path, incoming)
-        got = {(r.prediction_run_id, r.ticker): r.pred_close
-               for r in read_table(spark, path).collect()}
-        assert got == {("r1", "A"): 1.0, ("r1", "B"): 9.0, ("r1", "C"): 3.0, ("r2", "A"): 5.0,
-                       ("r3", "A"): 7.0}
-    assert {p.name for p in Path(path).glob(f"run_bucket={bucket['r2']}/*.parquet")} == untouched
+def stored_on(spark, run, on, values, hour):
+    return spark.createDataFrame(
+        [(run, on, "m", t, 1.0, v, None, None, at(0, hour)) for t, v in values.items()], PREDICTION)
+
+
+def files_of(path):
+    return {p.relative_to(path): p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+
+
+def held(frame):
+    return {(r.prediction_run_id, str(r.as_of_date), r.ticker): r.pred_close for r in frame.collect()}
+
+
+def test_upsert_of_one_run_touches_one_day(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store = RunStore(spark, path)
+    with pytest.raises(DataCheckError):
+        store.rows()
+    store.create(stored_on(spark, "r1", day(0), {"A": 1.0, "B": 2.0}, 1).unionByName(
+        stored_on(spark, "r2", day(1), {"A": 5.0}, 2)).unionByName(
+        stored_on(spark, "r3", None, {"A": 6.0}, 3)))
+    before, days = files_of(path), store.days()
+    assert set(days) == {str(day(0)), str(day(1)), "none"}
+    incoming = stored_on(spark, "r1", day(0), {"B": 9.0, "C": 3.0}, 4).withColumn("position", F.lit(0))
+    for version in (2, 3):  # a second run of the same upsert changes no row
+        assert store.upsert(incoming) == version
+        assert held(store.rows()) == {
+            ("r1", str(day(0)), "A"): 1.0, ("r1", str(day(0)), "B"): 9.0, ("r1", str(day(0)), "C"): 3.0,
+            ("r2", str(day(1)), "A"): 5.0, ("r3", "None", "A"): 6.0}
+    now = store.days()
+    assert {d for d in now if now[d] != days.get(d)} == {str(day(0))}
+    assert before.items() <= files_of(path).items()  # no file was changed
+    new = [p for p in files_of(path).keys() - before.keys() if p.parts[0] == "rows"]
+    assert {p.parent.name for p in new} == {f"as_of_day={day(0)}"}
+    assert held(store.rows(1))[("r1", str(day(0)), "B")] == 2.0
+    runs = {r.prediction_run_id: r.row_count for r in store.runs().collect()}
+    assert runs == {"r1": 3, "r2": 1, "r3": 1}
+    assert store.latest_run_id() == "r1" and store.latest().count() == 3
+    assert store.run("r3").count() == 1 and store.run("nothing").count() == 0
+
+
+def test_a_run_that_moves_to_another_day_leaves_no_row_behind(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path / "store"))
+    store.create(stored_on(spark, "r1", day(0), {"A": 1.0, "B": 2.0}, 1))
+    store.upsert(stored_on(spark, "r1", day(5), {"A": 7.0, "B": 8.0}, 2).withColumn("position", F.lit(0)))
+    assert held(store.rows()) == {("r1", str(day(5)), "A"): 7.0, ("r1", str(day(5)), "B"): 8.0}
+    assert set(store.days()) == {str(day(5))}
+    assert [tuple(r)[:4] for r in store.runs().collect()] == [("r1", day(5), "m", 2)]
+
+
+def test_a_killed_write_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    store = RunStore(spark, str(tmp_path / "store"))
+    store.create(stored_on(spark, "r1", day(0), {"A": 1.0}, 1))
+    incoming = stored_on(spark, "r1", day(0), {"A": 2.0}, 2).withColumn("position", F.lit(0))
+    with monkeypatch.context() as m:
+        m.setattr(RunStore, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            store.upsert(incoming)
+    assert store.versions() == [1] and held(store.rows()) == {("r1", str(day(0)), "A"): 1.0}
+    store.upsert(incoming)
+    with pytest.raises(DataCheckError):  # another writer of the same version
+        store._publish(2, {})
+    assert held(store.rows()) == {("r1", str(day(0)), "A"): 2.0}
+    assert store.vacuum(keep=1) == 4 and store.versions() == [2]
+    assert held(store.rows()) == {("r1", str(day(0)), "A"): 2.0}
+
+
+def test_newest_rows_of_a_ticker_read_the_days_they_need(spark, tmp_path):
+    rows = None
+    for k in range(12):
+        tickers = {"A": float(k)} | ({"B": float(k)} if k < 4 else {})
+        part = stored_on(spark, f"r{k}", day(k), tickers, k)
+        rows = part if rows is None else rows.unionByName(part)
+    store = RunStore(spark, str(tmp_path / "store"))
+    store.create(rows)
+
+    def newest(ticker, n):
+        found = store.newest_of(ticker, n)
+        return found, [r.pred_close for r in V.ticker_history(found, ticker, n).collect()]
+    found, values = newest("A", 2)
+    assert values == [11.0, 10.0] and len(found.inputFiles()) <= 12 and found.count() == 2
+    assert newest("B", 3)[1] == [3.0, 2.0, 1.0] and newest("B", 30)[1] == [3.0, 2.0, 1.0, 0.0]
+    assert newest("C", 3)[1] == []
 
 
 def test_later_duplicate_wins_and_created_at_is_refreshed(spark):
@@ -252,18 +318,17 @@ def test_stacked_forecasts_keep_missing_gate(spark):
 
 def test_upserts_with_the_clock_lose_no_stored_row(spark, tmp_path):
     from barloom.operators.scoring import run_id, stored_run
-    from barloom.sinks.upsert import create_table, read_table, upsert_table
     rows = spark.range(10).selectExpr(
         "concat('T', id) ticker", "date'2020-01-01' as_of_date", "1.0D last_close",
         "1.1D pred_close", "0.1D pred_return", "cast(null as double) graph_gate",
         "cast(id as int) position")
     old = spark.range(40).selectExpr("concat('old_', id) run").join(rows)
     from pyspark.sql import functions as F
-    path = str(tmp_path / "predictions")
-    create_table(stored_run(old, "m", F.col("run")).drop("position"), path)
+    store = RunStore(spark, str(tmp_path / "predictions"))
+    store.create(stored_run(old, "m", F.col("run")).drop("position"))
     for k in range(4):
-        upsert_table(spark, path, stored_run(rows, "m", run_id(f"new{k}")))
-    kept = read_table(spark, path)
+        store.upsert(stored_run(rows, "m", run_id(f"new{k}")))
+    kept = store.rows()
     assert kept.filter("prediction_run_id LIKE 'old%'").count() == 400
     assert kept.filter("prediction_run_id LIKE 'new%'").count() == 40
 

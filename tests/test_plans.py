@@ -14,7 +14,7 @@ from barloom.operators.pairs import pair_statistics
 from barloom.operators.samples import StepPlan, build_samples
 from barloom.plans import inputs
 from barloom.session import stage
-from barloom.sinks.upsert import create_table, read_run, read_table
+from barloom.sinks.run_store import RunStore
 from tests.panels import correlated, panel
 
 SF = "/root/testdata/sf0.001"
@@ -26,24 +26,28 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def stored_runs(spark, tmp_path_factory):
-    path = str(tmp_path_factory.mktemp("runs") / "t")
-    rows = inputs.predictions(spark, "/root/testdata/sf0.01")
-    create_table(rows, path)
-    return path
+    store = RunStore(spark, str(tmp_path_factory.mktemp("runs") / "t"))
+    store.create(inputs.predictions(spark, "/root/testdata/sf0.01"))
+    return store
 
 
-def test_latest_run_reads_two_columns(spark, stored_runs):
-    text = plan(V.latest_run(read_table(spark, stored_runs)))
-    assert re.search(r"ReadSchema: struct<prediction_run_id:string,created_at:timestamp>", text)
-    assert "TakeOrderedAndProject" in text
+def test_latest_run_reads_the_directory_only(spark, stored_runs):
+    text = plan(V.latest_run(stored_runs.runs().withColumnRenamed("last_created_at", "created_at")))
+    assert re.search(r"ReadSchema: struct<prediction_run_id:string,last_created_at:timestamp,as_of_day:string>", text)
+    assert "TakeOrderedAndProject" in text and "pred_close" not in text
 
 
-def test_one_run_prunes_partitions_and_pushes_its_filter(spark, stored_runs):
-    df = read_run(spark, stored_runs, "run_19990331")
+def test_one_run_prunes_days_and_pushes_its_filter(spark, stored_runs):
+    df = stored_runs.run("run_19990331")
     text = plan(df)
     assert "EqualTo(prediction_run_id,run_19990331)" in text
-    assert re.search(r"PartitionFilters: \[isnotnull\(run_bucket.*run_bucket#\d+ = \d+", text)
+    assert re.search(r"PartitionFilters: \[.*as_of_day#\d+.* = 1999-03-31", text)
     assert df.count() == 5
+    summary = plan(V.dashboard_summary(stored_runs.latest()))
+    assert re.search(r"PartitionFilters: \[.*as_of_day#\d+.* = ", summary)
+    newest = stored_runs.newest_of("2-HIGH", 30)
+    assert re.search(r"PartitionFilters: \[.*as_of_day#\d+.* IN \(", plan(newest))
+    assert 30 <= newest.count() <= 60
 
 
 def test_bars_fold_before_the_shuffle_and_read_what_they_need(spark):
@@ -92,7 +96,7 @@ def test_samples_take_one_exchange(spark):
 
 
 def test_run_items_limit_and_header(spark, stored_runs):
-    rows = read_table(spark, stored_runs)
+    rows = stored_runs.rows()
     assert [r.ticker for r in V.run_items(rows, "run_19990331", limit=2).collect()] == \
         ["1-URGENT", "2-HIGH"]
     header = V.run_header(V.run_items(rows, "run_19990331")).first()
