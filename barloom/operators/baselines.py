@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.config import BacktestConfig
@@ -21,8 +21,9 @@ from barloom.operators.samples import StepPlan, by_t, rows_in_windows, slice_ran
 
 STEPS_PER_SOLVE = 4
 SYMBOLS_PER_FIT = 64
-# About 50 MB of (step, t, weight) rows.
-MAX_BROADCAST_WEIGHTS = 2_000_000
+# A tile of the joint regression's last product: residual vectors of so many symbols x weights of steps.
+SYMBOLS_PER_TILE = 1_024
+STEPS_PER_TILE = 64
 # Squared singular values below this share of the largest count as zero.
 RANK_TOLERANCE = 1e-12
 
@@ -97,7 +98,10 @@ def smoother_weights(products: np.ndarray, offset: int, train: np.ndarray, test:
 
 
 def joint_weights(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -> DataFrame:
-    """``(step, t, weight)`` of the multi-output regression on all symbols' sequences."""
+    """``(step, first, weights)`` of the multi-output regression on all symbols' sequences.
+
+    ``weights`` are those of the training dates from ``first`` on.
+    """
     low, high = plan.train_start, plan.first_test + plan.n_steps - 2
     first_sample = plan.train_start + config.lookback
     chunks = [list(range(s, min(s + STEPS_PER_SOLVE, plan.n_steps + 1)))
@@ -110,77 +114,115 @@ def joint_weights(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -> D
             test = plan.first_test + step - 1
             train = np.arange(first_sample, test - config.val_days)
             weight = smoother_weights(products, low, train, test, config.lookback)
-            frames.append(pd.DataFrame({"step": np.int32(step), "t": train.astype(np.int32),
-                                        "weight": weight}))
-        return pd.concat(frames)
+            frames.append((step, first_sample, weight))
+        return pd.DataFrame(frames, columns=["step", "first", "weights"]).astype(
+            {"step": "int32", "first": "int32"})
 
     chunk = F.explode(F.sequence(F.lit(0), F.lit(len(chunks) - 1)))
     copies = date_products(panel, low, high).withColumn("chunk", chunk)
     return spread(copies, 2 * len(chunks), "chunk") \
-        .groupBy("chunk").applyInPandas(solve, "step int, t int, weight double")
+        .groupBy("chunk").applyInPandas(solve, "step int, first int, weights array<double>")
 
 
 def joint_regression(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -> DataFrame:
     """Predicted residual per step and symbol by multi-output least squares.
 
-    There is a weight per step and training date at most. While that bound is small the
-    weights are broadcast, so that the residuals are not shuffled by date, of which
-    there are few.
+    The prediction is a product of two matrices, residuals (symbols x dates) and weights (dates x
+    steps). A task multiplies a block of symbols' vectors with a block of steps' weights; no row
+    stands for a symbol, date and step.
     """
-    weights = joint_weights(panel, plan, config)
-    most = plan.n_steps * (plan.initial_end - plan.train_start + plan.n_steps)
-    if most <= MAX_BROADCAST_WEIGHTS:
-        weights = F.broadcast(weights)
-    rows = residuals(panel).select("t", "symbol", "residual")
-    return rows.join(weights, "t").groupBy("step", "symbol").agg(
-        F.sum(F.col("weight") * F.col("residual")).alias("pred_residual"))
-
-
-def ridge_path(closes: np.ndarray, lookback: int, train: np.ndarray, val: np.ndarray,
-               test: int, alphas: tuple[float, ...]) -> tuple[float, float]:
-    """Best penalty by validation error (first wins) and the predicted residual."""
-    lags = np.arange(lookback)
-
-    def rows(ts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return closes[ts[:, None] - lookback + lags], closes[ts] - closes[ts - 1]
-
-    x, y = rows(train)
-    xv, yv = rows(val)
-    x_mean, y_mean = x.mean(axis=0), y.mean()
-    xc = x - x_mean
-    gram, moment = xc.T @ xc, xc.T @ (y - y_mean)
-    best = (np.inf, alphas[0], None)
-    for alpha in alphas:
-        coef = np.linalg.solve(gram + alpha * np.eye(lookback), moment)
-        error = np.mean((yv - (y_mean + (xv - x_mean) @ coef)) ** 2)
-        if error < best[0]:
-            best = (error, alpha, coef)
-    probe = closes[test - lookback + lags]
-    return best[1], float(y_mean + (probe - x_mean) @ best[2])
+    low, high = plan.train_start, plan.first_test + plan.n_steps - 2
+    n_blocks = max(1, math.ceil(count_symbols(panel, high) / SYMBOLS_PER_TILE))
+    n_chunks = math.ceil(plan.n_steps / STEPS_PER_TILE)
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    symbols = pack_vectors(panel, low, high, "close").select(
+        F.pmod(F.xxhash64("symbol"), F.lit(n_blocks)).cast("int").alias("block"),
+        each(n_chunks).alias("chunk"), "symbol", F.lit(None).cast("int").alias("step"),
+        F.lit(0).alias("first"), "vec")
+    steps = joint_weights(panel, plan, config).select(
+        each(n_blocks).alias("block"), F.expr(f"(step - 1) div {STEPS_PER_TILE}").cast("int").alias("chunk"),
+        F.lit(None).cast("string").alias("symbol"), "step", "first", F.col("weights").alias("vec"))
+
+    def multiply(tile: pd.DataFrame) -> pd.DataFrame:
+        held, asked = tile[tile["step"].isna()], tile[tile["step"].notna()]
+        if held.empty or asked.empty:
+            return pd.DataFrame({"step": [], "symbol": [], "pred_residual": []}).astype(
+                {"step": "int32", "symbol": object, "pred_residual": float})
+        residual = np.diff(np.stack(held["vec"].to_numpy()), axis=1)  # of low + 1 and on
+        weights = np.zeros((len(asked), residual.shape[1]))
+        for row, first, values in zip(weights, asked["first"], asked["vec"]):
+            row[first - low - 1:first - low - 1 + len(values)] = values
+        return pd.DataFrame({"step": np.repeat(asked["step"].to_numpy(np.int32), len(held)),
+                             "symbol": np.tile(held["symbol"].to_numpy(), len(asked)),
+                             "pred_residual": (weights @ residual.T).ravel()})
+
+    tiles = spread(symbols.unionByName(steps), n_blocks * n_chunks, "block", "chunk")
+    return tiles.groupBy("block", "chunk").applyInPandas(
+        multiply, "step int, symbol string, pred_residual double")
+
+
+def ridge_paths(closes: np.ndarray, lookback: int, tests: list[int], val_days: int,
+                alphas: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Best penalty by validation error (first wins) and predicted residual: symbols x tests.
+
+    All symbols of ``closes`` (symbols x dates) are fitted together. Training ranges begin at
+    ``lookback`` and end ``val_days`` before each test, so a test's moments are those of the one before
+    plus its new days; one eigen-decomposition of a symbol's moments serves every penalty.
+    """
+    x = np.lib.stride_tricks.sliding_window_view(closes, lookback, axis=1)
+    y = np.diff(closes, axis=1)[:, lookback - 1:]
+    # Row k of a symbol is the sample of date lookback + k. The shift keeps the moments small.
+    first = tests[0] - val_days - lookback
+    shift = x[:, :first].mean(axis=1, keepdims=True)
+    x = x - shift
+    gram, total = np.zeros((len(closes), lookback, lookback)), np.zeros((len(closes), lookback))
+    moment, level = np.zeros((len(closes), lookback)), np.zeros(len(closes))
+    n, chosen, predicted = 0, [], []
+    penalties = np.array(alphas)
+    for test in tests:
+        end = test - val_days - lookback
+        new, new_y = x[:, n:end], y[:, n:end]
+        gram += new.transpose(0, 2, 1) @ new
+        moment += (new.transpose(0, 2, 1) @ new_y[:, :, None])[:, :, 0]
+        total += new.sum(axis=1)
+        level += new_y.sum(axis=1)
+        n = end
+        mean, mean_y = total / n, level / n
+        values, vectors = np.linalg.eigh(gram - n * mean[:, :, None] * mean[:, None, :])
+        turned = vectors.transpose(0, 2, 1) @ (moment - n * mean * mean_y[:, None])[:, :, None]
+        # symbols x dates x penalties
+        coef = vectors @ (turned / (values[:, :, None] + penalties))
+        off = mean_y[:, None, None] - mean[:, None, :] @ coef
+        errors = ((y[:, end:end + val_days, None] - off - x[:, end:end + val_days] @ coef) ** 2).mean(axis=1)
+        best = errors.argmin(axis=1)
+        chosen.append(penalties[best])
+        guess = (off + x[:, test - lookback][:, None, :] @ coef)[:, 0]
+        predicted.append(guess[np.arange(len(closes)), best])
+    return np.stack(chosen, axis=1), np.stack(predicted, axis=1)
 
 
 def ridge_regression(panel: DataFrame, plan: StepPlan, config: BacktestConfig) -> DataFrame:
     """Ridge per symbol and step; one input row holds one symbol's whole vector.
 
-    All steps of a symbol are fitted from that one row, so sequences are not copied
+    All steps of a stack of symbols are fitted from their rows, so sequences are not copied
     per step.
     """
     low, high = plan.train_start, plan.first_test + plan.n_steps - 2
+    tests = [plan.first_test + k - low for k in range(plan.n_steps)]
     schema = "step int, symbol string, alpha double, pred_residual double"
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for symbol, vec in zip(batch["symbol"], batch["vec"]):
-                for step in range(1, plan.n_steps + 1):
-                    test = plan.first_test + step - 1 - low
-                    train = np.arange(config.lookback, test - config.val_days)
-                    val = np.arange(test - config.val_days, test)
-                    alpha, pred = ridge_path(vec, config.lookback, train, val, test,
-                                             config.ridge_alphas)
-                    out.append((step, symbol, alpha, pred))
-            yield pd.DataFrame(out, columns=["step", "symbol", "alpha", "pred_residual"]) \
-                .astype({"step": "int32"})
+            for k in range(0, len(batch), SYMBOLS_PER_FIT):
+                part = batch.iloc[k:k + SYMBOLS_PER_FIT]
+                alpha, predicted = ridge_paths(np.stack(part["vec"].to_numpy()), config.lookback, tests,
+                                               config.val_days, config.ridge_alphas)
+                yield pd.DataFrame({
+                    "step": np.tile(np.arange(1, plan.n_steps + 1, dtype=np.int32), len(part)),
+                    "symbol": np.repeat(part["symbol"].to_numpy(), plan.n_steps),
+                    "alpha": alpha.ravel(), "pred_residual": predicted.ravel()})
 
     tasks = math.ceil(count_symbols(panel, high) / SYMBOLS_PER_FIT)
     return spread(pack_vectors(panel, low, high, "close"), tasks, "symbol").mapInPandas(
@@ -277,6 +319,25 @@ def blend_candidates(validation: DataFrame, alphas: tuple[float, ...]) -> DataFr
     return wide.select("step", F.explode(cells).alias("c")).select("step", "c.alpha", "c.mse")
 
 
+def blend_errors(rows: DataFrame, steps: DataFrame, low: str, high: str,
+                 alphas: tuple[float, ...]) -> DataFrame:
+    """``blend_candidates`` of the rows (t, y_true, p1, p2) in each step's window.
+
+    Squared errors fold to one row per date first; the steps see those only. A date without a known
+    prediction adds nothing.
+    """
+    errors = [F.sum(F.pow(F.col("y_true") - (1 - a) * F.col("p1") - a * F.col("p2"), 2)).alias(f"e_{k}")
+              for k, a in enumerate(alphas)]
+    known = F.count(F.col("y_true") + F.col("p1") + F.col("p2")).alias("n")
+    daily = rows.groupBy("t").agg(known, *errors)
+    windows = rows_in_windows(daily, steps.select("step", low, high), low, high)
+    wide = windows.groupBy("step").agg(F.sum("n").alias("n"), *(
+        F.sum(f"e_{k}").alias(f"e_{k}") for k in range(len(alphas))))
+    cells = F.array(*(F.struct(F.lit(a).alias("alpha"), (F.col(f"e_{k}") / F.col("n")).alias("mse"))
+                      for k, a in enumerate(alphas)))
+    return wide.select("step", F.explode(cells).alias("c")).select("step", "c.alpha", "c.mse")
+
+
 def best_blend(candidates: DataFrame) -> DataFrame:
     """Smallest error per step; among equals the first, that is smallest, alpha."""
     best = candidates.groupBy("step").agg(F.min(F.struct("mse", "alpha")).alias("best"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.config import GraphConfig
 from barloom.operators.pairs import pair_statistics
-from barloom.operators.samples import StepPlan, rows_in_windows
+from barloom.operators.samples import StepPlan, window_totals
 from barloom.session import stage
 
 # Weights are rounded before ranking, so that summation order cannot flip a tie.
@@ -122,7 +122,7 @@ def build_graph(panel: DataFrame, symbols: DataFrame, plan: StepPlan,
 
     For the serving snapshot give a plan of one step whose window ends at the last date.
     """
-    pairs = pair_statistics(panel, plan, config.recent_days, config)
+    pairs = pair_statistics(panel, plan, config.recent_days, config, leading=True)
     combined = graph_parts(pairs, config)["combined"]
     return normalise(with_self_edges(combined, symbols, plan.n_steps))
 
@@ -136,10 +136,11 @@ def movement_frequencies(panel: DataFrame, steps: DataFrame, recent_days: int) -
     """Share of up and down days per step and symbol (strictly above or below zero)."""
     start = F.greatest("train_start", F.col("train_end") - recent_days + 1)
     windows = steps.select("step", start.alias("low"), F.col("train_end").alias("high"))
-    rows = rows_in_windows(panel.select("t", "symbol", "ret"), windows, "low", "high")
-    return rows.groupBy("step", "symbol").agg(
-        F.avg((F.col("ret") > 0).cast("double")).alias("p_up"),
-        F.avg((F.col("ret") < 0).cast("double")).alias("p_down"))
+    known = F.when(F.col("ret").isNotNull(), 1)
+    counts = window_totals(panel, ["symbol"], windows, "low", "high", {
+        "days": known, "up": F.when(F.col("ret") > 0, 1), "down": F.when(F.col("ret") < 0, 1)})
+    return counts.filter("days > 0").select("step", "symbol", (F.col("up") / F.col("days")).alias("p_up"),
+                                            (F.col("down") / F.col("days")).alias("p_down"))
 
 
 def mean_frequencies(frequencies: DataFrame) -> DataFrame:

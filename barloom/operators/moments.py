@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.samples import rows_in_windows
@@ -16,22 +16,28 @@ def daily_moments(panel: DataFrame, columns: list[str]) -> DataFrame:
     return panel.groupBy("t").agg(*measures)
 
 
+def merged(a: Column, b: Column) -> Column:
+    """Moments (n, mean, ss) of two groups of rows together (Chan et al.), without large differences."""
+    n = a["n"] + b["n"]
+    apart = b["m"] - a["m"]
+    return F.struct(n.alias("n"), (a["m"] + apart * b["n"] / n).alias("m"),
+                    (a["ss"] + b["ss"] + apart * apart * a["n"] * b["n"] / n).alias("ss"))
+
+
 def window_moments(daily: DataFrame, steps: DataFrame, columns: list[str]) -> DataFrame:
     """Pooled mean and population deviation per step from the per-date moments.
 
-    Total squared deviation = within dates + between dates, which avoids subtracting
-    two large sums.
+    One join and one aggregate: the days of a window, at most the calendar's, are merged pairwise in
+    their order.
     """
-    rows = rows_in_windows(daily, steps.select("step", "train_start", "train_end"),
-                           "train_start", "train_end")
-    means = rows.groupBy("step").agg(F.sum("n").alias("total"), *[
-        (F.sum(F.col("n") * F.col(f"{c}_m")) / F.sum("n")).alias(f"{c}_mean") for c in columns])
-    joined = rows.join(means, "step")
-    spread = joined.groupBy("step").agg(F.first("total").alias("total"), *[
-        e for c in columns for e in (
-            F.first(f"{c}_mean").alias(f"{c}_mean"),
-            F.sum(F.col(f"{c}_ss") + F.col("n")
-                  * F.pow(F.col(f"{c}_m") - F.col(f"{c}_mean"), 2)).alias(f"{c}_dev"))])
-    return spread.select("step", *[
-        e for c in columns for e in (
-            F.col(f"{c}_mean"), F.sqrt(F.col(f"{c}_dev") / F.col("total")).alias(f"{c}_std"))])
+    windows = steps.select("step", "train_start", "train_end")
+    days = F.array_sort(F.collect_list(F.struct("t", *(
+        F.struct("n", F.col(f"{c}_m").alias("m"), F.col(f"{c}_ss").alias("ss")).alias(c)
+        for c in columns)))).alias("days")
+    gathered = rows_in_windows(daily, windows, "train_start", "train_end").groupBy("step").agg(days)
+    none = F.struct(*(F.lit(0.0).alias(n) for n in ("n", "m", "ss")))
+    pooled = gathered.select("step", *(
+        F.aggregate(F.col(f"days.{c}"), none, merged).alias(c) for c in columns))
+    return pooled.select("step", *(e for c in columns for e in (
+        F.col(f"{c}.m").alias(f"{c}_mean"),
+        F.sqrt(F.col(f"{c}.ss") / F.col(f"{c}.n")).alias(f"{c}_std"))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.config import BacktestConfig
@@ -74,9 +74,36 @@ def dated_steps(plan: StepPlan, calendar: DataFrame) -> DataFrame:
 
 
 def rows_in_windows(rows: DataFrame, steps: DataFrame, low: str, high: str) -> DataFrame:
-    """Range join of rows (by t) to steps; the step table has one row per test day."""
-    inside = F.col("t").between(F.col(low), F.col(high))
-    return rows.join(F.broadcast(steps), inside)
+    """Rows (by t) of each step's window, low to high, with the step's columns.
+
+    The windows are spelt out by date, so that a hash lookup finds a row's steps. That table has at
+    most test days x calendar days rows. A row is returned once per step: where only totals are
+    wanted, ``window_totals`` does not multiply rows.
+    """
+    days = steps.withColumn("t", F.explode(F.sequence(F.col(low), F.col(high))))
+    return rows.join(F.broadcast(days), "t")
+
+
+def window_totals(rows: DataFrame, keys: list[str], steps: DataFrame, low: str, high: str,
+                  measures: dict[str, Column]) -> DataFrame:
+    """``(step, *keys, *measures)``: sum of each measure over t in the step's window, low to high.
+
+    A window is the running sum at its last day less that before its first, so rows are summed once
+    whatever the number and length of windows, and only two rows per key and step leave the table.
+    Keys must have a row on each day from their first to their last, once a day; a null measure counts
+    as 0. Keys without a row in a window total 0 there if they had one before, else have no row.
+    """
+    running = Window.partitionBy(*keys).orderBy("t").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    totals = rows.select("t", *keys, *(
+        F.sum(F.coalesce(m, F.lit(0))).over(running).alias(n) for n, m in measures.items()))
+    # Two rows per test day.
+    ends = steps.select("step", F.explode(F.array(
+        F.struct(F.col(high).cast("int").alias("t"), F.lit(1).alias("sign")),
+        F.struct((F.col(low) - 1).cast("int").alias("t"), F.lit(-1).alias("sign")))).alias("e")) \
+        .select("step", "e.*")
+    return totals.join(F.broadcast(ends), "t").groupBy("step", *keys).agg(
+        *(F.sum(F.col("sign") * F.col(n)).alias(n) for n in measures))
 
 
 def slice_range(panel: DataFrame, start: int, end: int) -> DataFrame:

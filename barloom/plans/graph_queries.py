@@ -30,10 +30,10 @@ MONTH_PREFIX = ",".join([
     graph_ctes("mpanel", "snap")])
 
 
-def _setup(spark, sf_dir):
+def _setup(spark, sf_dir, leading=False):
     panel, calendar = inputs.day_panel(spark, sf_dir)
     plan = S.plan_steps(calendar, BACKTEST)
-    return panel, plan, pair_statistics(panel, plan, GRAPH.recent_days, GRAPH)
+    return panel, plan, pair_statistics(panel, plan, GRAPH.recent_days, GRAPH, leading=leading)
 
 
 def _symbols(panel):
@@ -64,7 +64,9 @@ def pearson_threshold(spark, sf_dir):
 
 @query("gr3_pearson_topk", EDGE_SPEC, GRAPH_PREFIX, "SELECT * FROM pearson")
 def pearson_topk(spark, sf_dir):
-    return G.keep_topk(pearson_threshold(spark, sf_dir), GRAPH.pearson_topk)
+    _, _, pairs = _setup(spark, sf_dir, leading=True)
+    edges = G.pearson_edges(G.both_directions(pairs), GRAPH.pearson_threshold)
+    return G.keep_topk(edges, GRAPH.pearson_topk)
 
 
 @query("gr4_movement_frequencies", "step:i symbol p_up:f p_down:f", GRAPH_PREFIX,
@@ -95,7 +97,7 @@ def association_edges(spark, sf_dir):
 
 @query("gr6_combined_graph", EDGE_SPEC, GRAPH_PREFIX, "SELECT * FROM combined")
 def combined_graph(spark, sf_dir):
-    _, _, pairs = _setup(spark, sf_dir)
+    _, _, pairs = _setup(spark, sf_dir, leading=True)
     return G.graph_parts(pairs, GRAPH)["combined"]
 
 
@@ -135,7 +137,7 @@ SELECT s.step, (SELECT count(*) FROM pearson e WHERE e.step = s.step) AS pearson
 @query("agg15_edge_counts", "step:i pearson_edges:i assoc_edges:i combined_edges:i",
        GRAPH_PREFIX, COUNT_SQL)
 def edge_counts(spark, sf_dir):
-    _, plan, pairs = _setup(spark, sf_dir)
+    _, plan, pairs = _setup(spark, sf_dir, leading=True)
     return G.edge_counts(G.graph_parts(pairs, GRAPH), plan.frame(spark))
 
 
@@ -234,14 +236,88 @@ def _scaled_setup(spark, sf_dir):
 FORECAST_SPEC = "model step:i date:d ticker y_true:f y_pred:f last_close:f"
 
 
-@query("bt5_joint_regression", FORECAST_SPEC)
+def _solved(name: str, systems: str, keys: str, n: int, width: int) -> str:
+    """CTE ``name``: systems (keys, m) of n equations after Gauss-Jordan elimination, as lists of rows."""
+    return f"""
+{name}_steps AS (SELECT {keys}, 0 AS k, m FROM {systems} UNION ALL
+    SELECT {keys}, k + 1, list_transform(range(1, {n} + 1), lambda i: CASE WHEN i = k + 1
+        THEN list_transform(m[k + 1], lambda v: v / m[k + 1][k + 1])
+        ELSE list_transform(range(1, {width} + 1),
+            lambda j: m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END)
+    FROM {name}_steps WHERE k < {n}),
+{name} AS (SELECT {keys}, m FROM {name}_steps WHERE k = {n})"""
+
+
+SEQUENCES_SQL = """
+seqs AS (SELECT t, date, symbol, close, lag(close) OVER w AS last_close,
+    list(close) OVER (PARTITION BY symbol ORDER BY t ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS x
+    FROM scaled WINDOW w AS (PARTITION BY symbol ORDER BY t)),
+full_seqs AS (SELECT *, close - last_close AS y FROM seqs WHERE t >= 20)"""
+
+# All symbols' sequences of a date in a row; the normal equations of each step for every symbol at once.
+JOINT_SQL = f"""
+WITH RECURSIVE {SEQUENCES_SQL},
+wide AS (SELECT t, flatten(list(x ORDER BY symbol)) AS x, list(y ORDER BY symbol) AS y FROM full_seqs
+    GROUP BY t),
+cells AS (SELECT t, unnest(range(1, 101)) AS i, unnest(x) AS v FROM wide),
+out_cells AS (SELECT t, unnest(range(1, 6)) AS o, unnest(y) AS v FROM wide),
+train AS (SELECT s.step, c.* FROM cells c JOIN steps s ON c.t BETWEEN s.train_start + 20 AND s.test_t - 21),
+means AS (SELECT step, list(m ORDER BY i) AS mx FROM (SELECT step, i, avg(v) AS m FROM train GROUP BY 1, 2) a
+    GROUP BY 1),
+gram AS (SELECT a.step, a.i, b.i AS j, covar_pop(a.v, b.v) AS c FROM train a
+    JOIN train b ON a.step = b.step AND a.t = b.t GROUP BY 1, 2, 3
+    UNION ALL SELECT a.step, a.i, 100 + b.o, covar_pop(a.v, b.v) FROM train a JOIN out_cells b ON a.t = b.t
+    GROUP BY 1, 2, 3),
+gram_rows AS (SELECT step, i, list(c ORDER BY j) AS r FROM gram GROUP BY 1, 2),
+systems AS (SELECT step, list(r ORDER BY i) AS m FROM gram_rows GROUP BY 1),
+{_solved("done", "systems", "step", 100, 105)},
+levels AS (SELECT s.step, o, avg(v) AS my FROM out_cells c
+    JOIN steps s ON c.t BETWEEN s.train_start + 20 AND s.test_t - 21 GROUP BY 1, 2),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY symbol) AS o FROM full_seqs)
+SELECT 'ols' AS model, s.step, r.date, r.symbol AS ticker, r.close AS y_true,
+    r.last_close + l.my + list_dot_product(list_transform(d.m, lambda row: row[100 + r.o]),
+        list_transform(range(1, 101), lambda i: w.x[i] - n.mx[i])) AS y_pred, r.last_close
+FROM steps s JOIN ranked r ON r.t = s.test_t JOIN wide w ON w.t = s.test_t JOIN done d ON d.step = s.step
+JOIN means n ON n.step = s.step JOIN levels l ON l.step = s.step AND l.o = r.o"""
+
+RIDGE_SQL = f"""
+WITH RECURSIVE {SEQUENCES_SQL},
+train AS (SELECT s.step, f.symbol, f.t, f.x, f.y FROM full_seqs f
+    JOIN steps s ON f.t BETWEEN s.train_start + 20 AND s.test_t - 21),
+cells AS (SELECT step, symbol, t, y, unnest(range(1, 21)) AS i, unnest(x) AS v FROM train),
+gram AS (SELECT a.step, a.symbol, a.i, b.i AS j, covar_pop(a.v, b.v) * count(*) AS c FROM cells a
+    JOIN cells b ON a.step = b.step AND a.symbol = b.symbol AND a.t = b.t GROUP BY 1, 2, 3, 4
+    UNION ALL SELECT step, symbol, i, 21, covar_pop(v, y) * count(*) FROM cells GROUP BY 1, 2, 3),
+means AS (SELECT step, symbol, list(m ORDER BY i) AS mx, min(my) AS my FROM (
+    SELECT step, symbol, i, avg(v) AS m, avg(y) AS my FROM cells GROUP BY 1, 2, 3) a GROUP BY 1, 2),
+penalties AS (SELECT unnest([0.01, 0.1, 1.0, 10.0, 100.0]) AS alpha),
+gram_rows AS (SELECT step, symbol, alpha, i,
+    list(c + CASE WHEN i = j THEN alpha ELSE 0 END ORDER BY j) AS r FROM gram, penalties GROUP BY 1, 2, 3, 4),
+systems AS (SELECT step, symbol, alpha, list(r ORDER BY i) AS m FROM gram_rows GROUP BY 1, 2, 3),
+{_solved("done", "systems", "step, symbol, alpha", 20, 21)},
+fits AS (SELECT d.step, d.symbol, d.alpha, list_transform(d.m, lambda row: row[21]) AS b, n.mx, n.my
+    FROM done d JOIN means n ON n.step = d.step AND n.symbol = d.symbol),
+guesses AS (SELECT s.step, f.symbol, g.alpha, f.t, f.date, f.y, f.close, f.last_close, s.test_t,
+    g.my + list_dot_product(g.b, list_transform(range(1, 21), lambda i: f.x[i] - g.mx[i])) AS p
+    FROM full_seqs f JOIN steps s ON f.t BETWEEN s.test_t - 20 AND s.test_t
+    JOIN fits g ON g.step = s.step AND g.symbol = f.symbol),
+chosen AS (SELECT step, symbol, alpha, row_number() OVER (PARTITION BY step, symbol ORDER BY mse, alpha) AS k
+    FROM (SELECT step, symbol, alpha, avg(pow(y - p, 2)) AS mse FROM guesses WHERE t < test_t
+        GROUP BY 1, 2, 3) e)
+SELECT 'ridge' AS model, g.step, g.date, g.symbol AS ticker, g.close AS y_true, g.last_close + g.p AS y_pred,
+    g.last_close
+FROM guesses g JOIN chosen c ON c.step = g.step AND c.symbol = g.symbol AND c.alpha = g.alpha AND c.k = 1
+WHERE g.t = g.test_t"""
+
+
+@query("bt5_joint_regression", FORECAST_SPEC, BACKTEST_PREFIX, JOINT_SQL)
 def joint_regression(spark, sf_dir):
     panel, plan = _scaled_setup(spark, sf_dir)
     predicted = L.joint_regression(panel, plan, BACKTEST)
     return L.collect_predictions(L.residuals(panel), predicted, plan, "ols")
 
 
-@query("bt6_ridge_regression", FORECAST_SPEC)
+@query("bt6_ridge_regression", FORECAST_SPEC, BACKTEST_PREFIX, RIDGE_SQL)
 def ridge_regression(spark, sf_dir):
     panel, plan = _scaled_setup(spark, sf_dir)
     predicted = L.ridge_regression(panel, plan, BACKTEST)
@@ -286,8 +362,9 @@ def collected_predictions(spark, sf_dir):
     plan = S.plan_steps(calendar, BACKTEST)
     rows = L.residuals(panel)
     windows = plan.frame(spark).withColumn("low", F.col("train_start") + BACKTEST.lookback)
-    drift = S.rows_in_windows(rows, windows, "low", "train_end").groupBy("step", "symbol") \
-        .agg(F.avg("residual").alias("pred_residual"))
+    totals = S.window_totals(rows, ["symbol"], windows, "low", "train_end",
+                             {"n": F.lit(1), "residual": F.col("residual")})
+    drift = totals.select("step", "symbol", (F.col("residual") / F.col("n")).alias("pred_residual"))
     return L.collect_predictions(rows, drift, plan, "drift")
 
 
@@ -308,7 +385,7 @@ def _blend_inputs(spark, sf_dir):
         "t", "date", "ticker", "y_true", F.col("naive").alias("p1"), F.col("ma5").alias("p2")))
     steps = plan.frame(spark)
     windows = steps.withColumn("low", F.col("test_t") - BACKTEST.val_days)
-    validation = S.rows_in_windows(rows, windows, "low", "train_end")
+    validation = L.blend_errors(rows, windows, "low", "train_end", BACKTEST.blend_alphas)
     test = rows.join(F.broadcast(steps.select("step", F.col("test_t").alias("t"))), "t")
     return validation, test
 
@@ -316,7 +393,7 @@ def _blend_inputs(spark, sf_dir):
 @query("bt9_blend_candidates", "step:i alpha:f mse:f", BACKTEST_PREFIX + "," + BLEND_SQL,
        "SELECT * FROM cand")
 def blend_candidates(spark, sf_dir):
-    return L.blend_candidates(_blend_inputs(spark, sf_dir)[0], BACKTEST.blend_alphas)
+    return _blend_inputs(spark, sf_dir)[0]
 
 
 @query("bt9_blended_test", "step:i date:d ticker alpha:f y_true:f y_pred:f",
@@ -326,8 +403,7 @@ SELECT t.step, t.date, t.ticker, b.alpha, t.y_true,
 FROM tests t JOIN best b ON t.step = b.step""")
 def blended_test(spark, sf_dir):
     validation, test = _blend_inputs(spark, sf_dir)
-    return L.apply_blend(test, L.best_blend(
-        L.blend_candidates(validation, BACKTEST.blend_alphas)))
+    return L.apply_blend(test, L.best_blend(validation))
 
 
 @query("bt11_scored_snapshots", "snapshot as_of_date:d ticker last_close:f pred_close:f "

@@ -163,8 +163,9 @@ FROM panel p JOIN steps s ON p.t BETWEEN s.train_start AND s.train_end GROUP BY
 def step_windows(spark, sf_dir):
     panel, calendar = inputs.day_panel(spark, sf_dir)
     steps = S.plan_steps(calendar, BACKTEST).frame(spark)
-    return S.rows_in_windows(panel, steps, "train_start", "train_end").groupBy("step").agg(
-        F.count("*").alias("n_rows"), F.min("t").alias("first_t"), F.max("t").alias("last_t"),
+    daily = panel.groupBy("t").agg(F.count("*").alias("n"), F.sum("ret").alias("ret"))
+    return S.rows_in_windows(daily, steps, "train_start", "train_end").groupBy("step").agg(
+        F.sum("n").alias("n_rows"), F.min("t").alias("first_t"), F.max("t").alias("last_t"),
         F.sum("ret").alias("sum_ret"))
 
 

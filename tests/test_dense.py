@@ -105,6 +105,68 @@ def test_block_size_does_not_change_pairs(frame, plan, block):
     assert rows(block) == want
 
 
+@pytest.mark.parametrize("windows", [
+    [(0, 9), (1, 10), (2, 11)], [(0, 29)], [(0, 3), (0, 4), (0, 5)], [(3, 4), (8, 9), (9, 20), (19, 29)],
+    [(k, k + 1) for k in range(28)], [(k // 2, 10 + k) for k in range(20)]])
+def test_window_products(windows):
+    from barloom.operators.pairs import Side, window_products
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(4, 30)), rng.normal(size=(3, 30))
+    x[1, 5:] = 7.0
+    got = list(window_products(x, y, windows))
+    assert len(got) == len(windows)
+    for (a, b), m in zip(windows, got):
+        assert np.allclose(m, x[:, a:b + 1] @ y[:, a:b + 1].T, atol=1e-12)
+    side = Side(x, windows)
+    for k, (a, b) in enumerate(windows):
+        part = x[:, a:b + 1]
+        want = np.sqrt(((part - part.mean(axis=1, keepdims=True)) ** 2).sum(axis=1))
+        assert np.allclose(side.spread(k, b - a + 1), want, atol=1e-9)
+        assert side.still[k].tolist() == (part.max(axis=1) == part.min(axis=1)).tolist()
+
+
+def test_leading_pairs_are_few_and_enough(spark):
+    config = GraphConfig(recent_days=40, pearson_threshold=0.0, pearson_topk=2, min_support=0.0,
+                         min_confidence=0.0, lift_threshold=0.0, assoc_topk=1, final_topk=2)
+    returns = correlated(60, 40, seed=3, noise=2.0)
+    returns[:, 5] = returns[:, 6]  # equal weights rank by name
+    frame = panel(spark, returns, [f"S{k:02d}" for k in range(40)])
+    plan = S.StepPlan(57, 3, 0)
+    every = pair_statistics(frame, plan, 40, config, block=16)
+    few = pair_statistics(frame, plan, 40, config, block=16, leading=True)
+    n_blocks = 3
+    assert every.count() == 3 * 40 * 39 // 2
+    assert few.count() <= 3 * 40 * 2 * (2 + 1) * n_blocks / 2
+    for part in ("pearson", "assoc", "combined"):
+        def rows(pairs):
+            return sorted((r.step, r.src, r.dst, round(r.weight, 9))
+                          for r in G.graph_parts(pairs, config)[part].collect())
+        assert rows(few) == rows(every)
+
+
+def test_window_totals(spark, frame, returns, plan):
+    steps = plan.frame(spark).withColumn("low", F.col("train_start") + 2)
+    got = {(r.step, r.symbol): (r.n, r.ret) for r in S.window_totals(
+        frame, ["symbol"], steps, "low", "train_end", {"n": F.lit(1), "ret": F.col("ret")}).collect()}
+    for step, start, end in plan.windows():
+        for j, name in enumerate(NAMES):
+            n, total = got[(step, name)]
+            part = returns[start + 2:end + 1, j]
+            assert n == len(part) and total == pytest.approx(part.sum(), abs=1e-12)
+
+
+def test_window_moments_merge_days(spark, plan):
+    from barloom.operators.moments import daily_moments, window_moments
+    rng = np.random.default_rng(0)
+    values = 1e8 + rng.normal(size=(N_DATES, N_SYMBOLS))
+    held = panel(spark, values, NAMES, values)
+    got = {r.step: (r.ret_mean, r.ret_std) for r in window_moments(
+        daily_moments(held, ["ret"]), plan.frame(spark), ["ret"]).collect()}
+    for step, start, end in plan.windows():
+        part = values[start:end + 1]
+        assert got[step] == pytest.approx((part.mean(), part.std()), rel=1e-9)
+
+
 def test_pair_filter_drops_nothing_that_a_graph_keeps(frame, plan):
     every = pair_statistics(frame, plan, GRAPH.recent_days)
     kept = pair_statistics(frame, plan, GRAPH.recent_days, GRAPH)
@@ -119,9 +181,10 @@ def sequences(closes, ts, lookback):
     return np.stack([closes[t - lookback:t].T.reshape(-1) for t in ts])
 
 
-@pytest.mark.parametrize("lookback, limit", [(4, 0), (4, 10 ** 6), (12, 10 ** 6)])
-def test_joint_regression(frame, closes, plan, lookback, limit, monkeypatch):
-    monkeypatch.setattr(L, "MAX_BROADCAST_WEIGHTS", limit)
+@pytest.mark.parametrize("lookback, tile", [(4, (2, 4)), (4, (1_024, 64)), (12, (1_024, 64))])
+def test_joint_regression(frame, closes, plan, lookback, tile, monkeypatch):
+    monkeypatch.setattr(L, "SYMBOLS_PER_TILE", tile[0])
+    monkeypatch.setattr(L, "STEPS_PER_TILE", tile[1])
     # lookback 12 has more coefficients than samples: the minimum-norm solution is meant.
     config = BacktestConfig(lookback=lookback, test_days=6, initial_train=60, val_days=10)
     got = {(r.step, r.symbol): r.pred_residual

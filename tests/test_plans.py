@@ -46,7 +46,7 @@ def test_one_run_prunes_days_and_pushes_its_filter(spark, stored_runs):
     summary = plan(V.dashboard_summary(stored_runs.latest()))
     assert re.search(r"PartitionFilters: \[.*as_of_day#\d+.* = ", summary)
     newest = stored_runs.newest_of("2-HIGH", 30)
-    assert re.search(r"PartitionFilters: \[.*as_of_day#\d+.* IN \(", plan(newest))
+    assert re.search(r"PartitionFilters: \[.*as_of_day#\d+.* IN", plan(newest))
     assert 30 <= newest.count() <= 60
 
 
@@ -115,3 +115,15 @@ def test_messages_are_parsed_once(spark):
     assert [(r["symbol"], r["price"]) for r in ticks.collect()] == [("A", 1.5)]
     plan = ticks._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("from_json") + plan.count("jsontostructs") == 1
+
+
+def test_steps_meet_the_panel_by_hash_or_by_running_sums(spark):
+    from barloom.plans import graph_queries, panel_queries
+    from barloom.plans.registry import REGISTRY
+    for name in ("gr4_movement_frequencies", "jn8_step_windows", "bt8_collected_predictions",
+                 "bt9_blend_candidates", "agg21_standard_fit", "bt5_joint_regression"):
+        text = plan(REGISTRY[name].build(spark, "/root/testdata/sf0.01"))
+        assert "NestedLoop" not in text and "CartesianProduct" not in text, name
+    moments = plan(REGISTRY["agg21_standard_fit"].build(spark, "/root/testdata/sf0.01"))
+    windows = moments.split("collect_list")[-1]
+    assert windows.count("BroadcastHashJoin") >= 1 and graph_queries and panel_queries
