@@ -6,12 +6,14 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm import shingles
 from barloom.llm.components import components
+from barloom.llm.shingles import U64
 from barloom.session import Scratch, stage
 
 # Largest chance that a pair just at the threshold shares no bucket.
@@ -19,8 +21,9 @@ MISS = 1e-6
 PER_BAND = 5
 # 64-bit words of a set's sketch; sets of up to some thousand shingles are told apart by it.
 SKETCH = 16
-# Times as many hubs in each round as in the one before.
-GROWTH = 16
+# Members and shingles of a block of a tile; a task holds two blocks.
+BLOCK_MEMBERS = 1_024
+BLOCK_SHINGLES = 400_000
 # Shingle hashes sent to Python's output at once.
 ROWS_OUT = 2000
 
@@ -43,11 +46,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     buckets of a one-permutation signature. A bucket never emits its pairs: members that can be
     linked to any other, judged by their shingles that no other set has, are held against one hub;
     pairs whose sketches differ in more bits than the sets may in shingles are left out by the join,
-    the rest is confirmed on full sets, and components are taken. A bucket with members of several
-    components goes into another round with hubs from its small components, ``GROWTH`` times as
-    many each time, until every bucket holds one component or has compared all that differ. Both filters are
-    exact bounds, so within the buckets no link between components is lost, and a pair at the
-    threshold shares no bucket with probability 1e-6.
+    the rest is confirmed on full sets, and components are taken. What a bucket then still holds of
+    several components is cut into blocks; a task compares two blocks, sketches first, full sets where
+    these allow a link between components, and returns the links that join components in it, fewer than
+    it has members. All filters are exact bounds, so within the buckets no link between components is
+    lost, and a pair at the threshold shares no bucket with probability 1e-6.
 
     Null and blank texts have no shingle and stay alone, as do rows whose id is null (component_id
     null, kept). Rows are judged by text: a repeated id on equal texts gives equal rows. Other
@@ -59,16 +62,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     signed = stage(rows.mapInArrow(
         _signer(width, bands), "doc_id long, node binary, n_shingles long, bands array<long>"),
         "signed")
-    groups = stage(signed.filter("doc_id IS NOT NULL AND node IS NOT NULL")
+    scratch = Scratch(docs.sparkSession)
+    groups = scratch.stage(signed.filter("doc_id IS NOT NULL AND node IS NOT NULL")
                    .groupBy("node").agg(F.min("doc_id").alias("first_id"),
                                         F.first("n_shingles").alias("n"),
                                         F.first("bands").alias("bands")), "groups")
-    roots = components(_links(rows, groups, width, percent))
+    roots = components(_links(rows, groups, width, percent, scratch), scratch)
     named = groups.select("node", "first_id").join(roots, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
-    smallest = stage(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
-    of_node = stage(stage(named, "named").join(smallest, "root").select("node", "component_id"),
+    smallest = scratch.stage(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
+    of_node = stage(scratch.stage(named, "named").join(smallest, "root").select("node", "component_id"),
                     "of_node")
+    scratch.clear()
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(
         F.coalesce("component_id", "doc_id"))
     return (signed.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
@@ -116,30 +121,71 @@ def _set_writer(width: int):
     return write
 
 
-def _links(rows: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(rows: DataFrame, groups: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """Confirmed links (a, b) that connect all groups which share a bucket and pass the threshold."""
+    star = Scratch(rows.sparkSession)
     entries = groups.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = stage(entries.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
-    members = stage(entries.join(shared, "bucket").select("bucket", "node", "n",
-                                                          F.col("node").alias("root")), "members")
-    sets = stage(_sets(rows, groups, members, width), "sets")
-    links, share, last = None, 1, Scratch(rows.sparkSession)
-    while True:
-        now = Scratch(rows.sparkSession)
-        members = _viable(members, sets, percent, now)
-        hubs = now.stage(_hubs(members, share), "hubs")
-        found = _confirmed(members, hubs, sets, percent, now)
-        links = now.stage(found if links is None else links.union(found), "links")
-        members = _without(members, hubs, components(links, now), now)
-        last.clear()
-        if members.isEmpty():
-            return links
-        share, last = GROWTH * share, now
-
-
-def _sets(rows: DataFrame, groups: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    shared = star.stage(entries.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
+    members = star.stage(entries.join(shared, "bucket").select("bucket", "node", "n",
+                                                               F.col("node").alias("root")), "members")
+    sets = scratch.stage(_sets(rows, groups, members, width, star), "sets")
+    able = _viable(members, sets, percent, star)
+    hubs = star.stage(_hubs(able), "hubs")
+    links = scratch.stage(_confirmed(able, hubs, sets, percent, star), "links")
+    left = _without(able, hubs, components(links, star), scratch)
+    star.clear()
+    tiles = _tiles(left, sets).groupBy("bucket", "low", "high").applyInPandas(
+        _joined(percent), "a binary, b binary")
+    return links.union(scratch.stage(tiles, "joined"))
+
+
+def _tiles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members with their sets, copied to the tiles of their block with each block of their bucket."""
+    blocks = members.groupBy("bucket").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    placed = members.join(blocks, "bucket").select("bucket", "node", "root", own, "blocks") \
+        .select("bucket", "node", "root", "own", other)
+    return placed.join(sets, "node").select(
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own",
+        "node", "root", "sketch", "hashes")
+
+
+def _joined(percent: int):
+    """Links between members of a tile that join components not joined before, one after the other."""
+    def join(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values("node")
+        nodes, hashes = tile["node"].to_numpy(), tile["hashes"].to_numpy()
+        sketch = np.stack(tile["sketch"].to_numpy()).view(U64)
+        size = np.array([len(h) for h in hashes])
+        label = np.unique(tile["root"].to_numpy(), return_inverse=True)[1]
+        own, low, high = tile["own"].to_numpy(), tile["low"].iloc[0], tile["high"].iloc[0]
+        rows = np.flatnonzero(own == low)
+        links = []
+        for i in rows:
+            # A block met with itself holds each pair twice.
+            others = np.arange(i + 1, len(nodes)) if low == high else np.flatnonzero(own == high)
+            others = others[label[others] != label[i]]
+            both = size[others] + size[i]
+            apart = np.bitwise_count(sketch[others] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+            may = ((100 + percent) * apart <= (100 - percent) * both) & (
+                100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))
+            for j in others[may]:
+                if label[j] == label[i]:
+                    continue
+                common = len(np.intersect1d(hashes[i], hashes[j], assume_unique=True))
+                if 100 * common >= percent * (size[i] + size[j] - common):
+                    links.append((nodes[i], nodes[j]))
+                    label[label == label[j]] = label[i]
+        return pd.DataFrame(links, columns=["a", "b"], dtype=object)
+    return join
+
+
+def _sets(rows: DataFrame, groups: DataFrame, members: DataFrame, width: int,
+          scratch: Scratch) -> DataFrame:
     """(node, sketch, hashes) of every group that shares a bucket, from the text of its first id."""
-    chosen = stage(groups.join(members.select("node").distinct(), "node", "left_semi")
+    chosen = scratch.stage(groups.join(members.select("node").distinct(), "node", "left_semi")
                    .select(F.col("first_id").alias("doc_id")).distinct(), "chosen")
     texts = rows.join(chosen, "doc_id", "left_semi").select("text")
     return (texts.mapInArrow(_set_writer(width), "node binary, sketch array<long>, hashes array<long>")
@@ -170,19 +216,12 @@ def _mixed(members: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.stage(members.join(mixed, "bucket").select(members.columns), "open")
 
 
-def _hubs(members: DataFrame, share: int) -> DataFrame:
-    """Up to ``share`` hubs per bucket, one for each share of its components.
-
-    Small components come first, so that the largest need not spend its members; within one the
-    member with the smallest part of shingles of its own, which is nearest to the others.
-    """
+def _hubs(members: DataFrame) -> DataFrame:
+    """One hub per bucket: the member with the smallest part of shingles of its own, nearest to others."""
     part = (F.col("alone") / F.col("n")).alias("part")
-    parts = members.groupBy("bucket", "root").agg(
-        F.count("*").alias("held"), F.min(F.struct(part, "node", "n", "alone")).alias("one"))
-    salt = F.pmod(F.xxhash64("root"), F.lit(share)).alias("salt")
-    best = F.min(F.struct("held", "one", "root")).alias("hub")
-    return parts.groupBy("bucket", salt).agg(best).select(
-        "bucket", "hub.one.node", "hub.one.n", "hub.one.alone", "hub.root")
+    return members.groupBy("bucket").agg(
+        F.min(F.struct(part, "node", "n", "alone", "root")).alias("hub")).select(
+        "bucket", "hub.node", "hub.n", "hub.alone", "hub.root")
 
 
 def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int,
@@ -216,7 +255,7 @@ def _confirmed(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: in
 
 
 def _without(members: DataFrame, hubs: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
-    """Members not yet used as hub under their new roots, where a bucket still mixes components."""
+    """Members other than the hub under their new roots, where a bucket still mixes components."""
     rest = members.select("bucket", "node", "n").join(
         hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
     rooted = rest.join(roots, "node", "left").select(

@@ -39,6 +39,26 @@ def jaccard_components(texts, width, percent):
     return [len(s) for s in sets], root
 
 
+def loose_components(texts, width, percent):
+    """Components by counting shared shingles of every pair, as dense products."""
+    sets = []
+    for text in texts:
+        words = text.split()
+        sets.append({tuple(words[k:k + width]) for k in range(len(words) - width + 1)})
+    names = {s: k for k, s in enumerate({s for one in sets for s in one})}
+    held = np.zeros((len(sets), len(names)), np.float32)
+    for k, one in enumerate(sets):
+        held[k, [names[s] for s in one]] = 1
+    common, size = held @ held.T, held.sum(axis=1)
+    linked = 100 * common >= percent * (size[:, None] + size[None] - common)
+    root = np.arange(len(sets))
+    while True:
+        lower = np.where(linked, root[None], len(sets)).min(axis=1)
+        if np.array_equal(lower, root):
+            return root.tolist()
+        root = lower
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(50, 51), (51, 50), (60, None)],
                                   "a long, b long")
@@ -63,6 +83,22 @@ def test_near_duplicates_against_brute_force(spark):
     assert [r["kept"] for r in got] == [k == r for k, r in enumerate(root)]
 
 
+def test_near_duplicates_of_a_large_loose_group(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 150)
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(40)]
+    texts = []
+    for k in range(2_000):  # one template, every copy changed in places of its own
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3, 4])):
+            words[rng.randrange(40)] = f"v{rng.randrange(60)}"
+        texts.append(" ".join(words))
+    want = loose_components(texts, 3, 85)
+    got = minhash.near_duplicates(docs_of(spark, enumerate(texts)), 3, 85).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in got] == want
+    assert 2 < len(set(want)) < 2_000
+
+
 def test_near_duplicates_edges(spark):
     got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"], r["kept"]) for r in
                  minhash.near_duplicates(docs_of(spark, edge_rows()), 3, 85).collect())
