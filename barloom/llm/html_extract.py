@@ -6,6 +6,7 @@ import html
 import math
 import random
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,20 +23,21 @@ LAID_OUT_PAGES = 300
 EPOCHS, RATE, DECAY = 12, 0.2, 1e-4
 
 # How HTML names its elements.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark "
-                   "q s samp small span strike strong sub sup time tt u var".split())
-RAW = "script|style"
+                   "q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset(["script", "style"])
 # Elements whose text is not the page's: up to their end, that of their parent, or at once for <.../>.
 DROPPED = frozenset("noscript template iframe svg object canvas".split())
 # Elements that end an open svg, unless they stand in its foreignObject.
 BREAKOUT = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr img li menu ol p pre "
                      "ruby table ul".split())
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([a-z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""",
-    re.IGNORECASE | re.DOTALL)
+_OPEN = re.compile(r"<(?:!--|[!?]|/?[a-z]|/)", re.IGNORECASE)
+_NAME = re.compile(r"[^\s/>]*")
+# A quote opens a value only after an equals sign.
+_STOP = re.compile(r"""=\s*["']|>""")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""",
                     re.IGNORECASE)
 
@@ -50,6 +52,43 @@ class Block:
     chain: tuple[tuple[str, ...], ...] = ()  # features of each ancestor, outermost first
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of each piece of markup, in order and never overlapping.
+
+    Comments and declarations have no name; the contents of scripts and styles belong to their tag. A
+    tag, comment or raw element that never ends takes the rest of the page, as in a browser; a quote
+    that is never closed is an ordinary character. No part of the page is read more than a few times.
+    """
+    at, n = 0, len(page)
+    closed = {q: page.rfind(q) for q in "\"'"}
+    while (found := _OPEN.search(page, at)) is not None:
+        start, head = found.start(), found.group()
+        if head == "<!--":
+            end = page.find("-->", start + 2)
+            at = n if end < 0 else end + 3
+            yield start, at, "", False, ""
+            continue
+        if head in ("<!", "<?", "</"):
+            end = page.find(">", start)
+            at = n if end < 0 else end + 1
+            yield start, at, "", False, ""
+            continue
+        closing = head[1] == "/"
+        named = _NAME.match(page, start + 2 if closing else start + 1)
+        at, name = named.end(), named.group().lower()
+        while (stop := _STOP.search(page, at)) is not None and stop.group() != ">":
+            quote = stop.group()[-1]
+            at = page.index(quote, stop.end()) + 1 if closed[quote] >= stop.end() else stop.end()
+        end = n if stop is None else stop.end()
+        attributes = page[named.end():n if stop is None else stop.start()]
+        at = end
+        if name in RAW and not closing:
+            last = _RAW_END[name].search(page, end)
+            at = n if last is None else page.find(">", last.end()) + 1 or n
+            name = ""
+        yield start, at, name, closing, attributes
+
+
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks with text, in page order: references decoded, white space folded and trimmed."""
     found: list[Block] = []
@@ -75,14 +114,12 @@ def blocks(page: str | None) -> list[Block]:
 
     at = 0
     page = page or ""
-    for token in _TOKEN.finditer(page):
-        if token.start() > at:
-            take(page[at:token.start()])
-        at = token.end()
-        name = (token.group(3) or "").lower()
+    for start, end, name, ends, attributes in tags(page):
+        if start > at:
+            take(page[at:start])
+        at = end
         if not name:
             continue
-        ends = token.group(2)
         if name in BREAKOUT and not ends and state["dropped"]:
             names = [n for n, _ in stack]
             if "svg" in names and "foreignobject" not in names:
@@ -101,7 +138,7 @@ def blocks(page: str | None) -> list[Block]:
                 del stack[k:]
                 state["dropped"] = state["dropped"] and any(n in DROPPED for n, _ in stack)
         elif name in DROPPED or state["dropped"]:
-            if name not in VOID and not token.group(4).rstrip().endswith("/"):
+            if name not in VOID and not attributes.rstrip().endswith("/"):
                 stack.append((name, ()))
                 state["dropped"] = True
         else:
@@ -112,7 +149,7 @@ def blocks(page: str | None) -> list[Block]:
                     stack.pop()
                 # What a page's body is named says nothing of a block.
                 words = set() if name in ("html", "body") else {
-                    w for m in _NAMES.findall(token.group(4)) for n in m
+                    w for m in _NAMES.findall(attributes) for n in m
                     for w in re.findall(r"[a-z]+", n.lower())}
                 stack.append((name, (f"tag:{name}", *(f"name:{w}" for w in sorted(words)))))
     if at < len(page):
@@ -294,10 +331,13 @@ def fit(pages: list[str], seed: int = 11) -> Crf:
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Crf:
-    """Fit on a bounded sample of the pages (SAMPLE_PAGES); an empty table leaves the laid out ones."""
-    sample = (pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
-              .filter("html IS NOT NULL").orderBy(F.xxhash64("id"), "id", F.md5("html"))
-              .limit(SAMPLE_PAGES).select("html").collect())
+    """Fit on a bounded sample of the pages (SAMPLE_PAGES ids, a page each); without any, on laid out ones."""
+    known = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")) \
+        .filter("html IS NOT NULL AND id IS NOT NULL")
+    # Ids first: a partition's candidates are numbers, and whole pages leave only the chosen ones.
+    chosen = known.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PAGES).collect()
+    sample = known.filter(F.col("id").isin([r["id"] for r in chosen])) \
+        .groupBy("id").agg(F.min("html").alias("html")).orderBy(F.xxhash64("id"), "id").collect()
     return fit([r["html"] for r in sample])
 
 

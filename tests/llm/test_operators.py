@@ -243,6 +243,31 @@ def test_html_blocks_and_extraction(spark):
     assert model.decode(page) == [best >> k & 1 for k in range(len(page))]
 
 
+def test_html_quotes_only_after_an_equals_sign():
+    def texts(page):
+        return [b.text for b in html_extract.blocks(page)]
+    assert texts("<article><p data-x=it's>One.</p><p>Two isn't lost, it is here.</p></article>") == [
+        "One.", "Two isn't lost, it is here."]
+    assert texts("<p title=it's>One is here.</p>") == ["One is here."]
+    assert texts("<p>foo<wbr>bar</p>") == ["foobar"]
+    assert texts("<p title='a > b' class = \"x>y\">One</p>") == ["One"]
+    assert texts("<p title=\"never closed>One</p><p>Two") == ["One", "Two"]
+    assert texts("a < b</>c<!-- > -->d<?x y>e<!doctype html>f<p unclosed") == ["a < bcdef"]
+    assert texts("<p>a<script>if (x < y) '</p>'</SCRIPT >b</p><style>c") == ["ab"]
+    model, names = html_extract.fit([]), html_extract.blocks("<div class=\"post entry\" id='a'>x")
+    assert {"name:post", "name:entry", "name:a"} <= set(names[0].above)
+    assert html_extract.main_text("<article><p title=it's>One word here.</p></article>", model) == \
+        "One word here."
+
+
+def test_html_of_broken_pages_takes_linear_time():
+    import time
+    for piece in ('<p a="', "<p a='", "<p ", "<!--", "</", "<script>", '<p a="b" ', "<a b=c", "< "):
+        start = time.perf_counter()
+        html_extract.blocks(piece * (1_000_000 // len(piece)))
+        assert time.perf_counter() - start < 3, piece
+
+
 def test_html_dropped_elements_end_with_their_parent():
     def texts(page):
         return [b.text for b in html_extract.blocks(page)]

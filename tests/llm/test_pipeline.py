@@ -42,3 +42,82 @@ def test_contaminated_rows_go_whatever_their_ids(spark, tmp_path):
     rows = [(5, "clean"), (5, f"x {passage}"), (None, passage), (None, "clean"), (6, None), (6, None)]
     found = corpus_pipeline.drop_contaminated(spark, docs_of(spark, rows), str(tmp_path))
     assert kept_of(found) == Counter(r for r in rows if passage not in (r[1] or ""))
+
+
+CLASHING = DOCS + (", print string, toxic_score string, n_pii string, pii_kinds string, kept int, row int, "
+                   "docs int, one int, number int, n int, best int")
+
+
+def clashing_of(spark, rows):
+    return spark.createDataFrame(
+        [(i, t, "en", "x", len(t or ""), "mine", "mine", "mine", "mine", *range(7)) for i, t in rows], CLASHING)
+
+
+def tables_of(spark, folder, docs):
+    labels = [(k, 1, k % 2) for k in range(60)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(f"p{k}" for k in range(20)))], "item_id long, text string") \
+        .write.parquet(f"{folder}/benchmark.parquet")
+    docs.write.parquet(f"{folder}/documents.parquet")
+
+
+def learning_rows():
+    """Texts of labelled ids: odd ones hold a word that ordinary ones never do."""
+    return [(k, " ".join(f"w{(k * 7 + j * j) % 50}" for j in range(12)) + (" vile" if k % 2 else " fine"))
+            for k in range(60)]
+
+
+def odd_rows():
+    return [(100, None), (100, None), (101, ""), (None, " "), (102, "vile"), (None, "vile"), (103, "mild one"),
+            (103, "mild one"), (None, "call 555-123-4567 now"), (104, " ".join(f"p{k}" for k in range(20)))]
+
+
+def test_every_stage_passes_clashing_columns_through(spark, tmp_path):
+    rows = learning_rows() + odd_rows()
+    docs = clashing_of(spark, rows)
+    tables_of(spark, str(tmp_path), docs)
+    toxic = {t for _, t in rows if t and "vile" in t.split()}
+    passage = " ".join(f"p{k}" for k in range(20))
+    seen = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert all(tuple(r)[5:] == ("mine",) * 4 + tuple(range(7)) for r in got), name
+        seen.append((name, Counter((r["doc_id"], r["text"]) for r in got)))
+        assert stage(spark, docs.filter("doc_id < -1"), str(tmp_path)).count() == 0, name
+    want = dict(seen)
+    assert want["toxicity"] == Counter(r for r in rows if r[1] not in toxic)
+    assert want["decontamination"] == Counter(r for r in rows if r[1] != passage)
+    assert sum(want["pii"].values()) == len(rows) and (None, "call 555-123-4567 now") not in want["pii"]
+    tokens = corpus_pipeline.tokens(spark, docs, str(tmp_path)).collect()
+    assert len(tokens) == len(rows) and all(r["round_trip"] for r in tokens)
+    assert corpus_pipeline.tokens(spark, docs.filter("doc_id < -1"), str(tmp_path)).count() == 0
+
+
+def test_the_whole_run_against_plain_stages(spark, tmp_path):
+    from barloom.llm import pii
+    from barloom.llm.queries import PII_KEY
+    rows = learning_rows() + odd_rows() + [(200 + k, t + " more") for k, t in learning_rows() if k % 10 == 0]
+    tables_of(spark, str(tmp_path), docs_of(spark, rows))
+
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    left = [r for r in rows if "vile" not in (r[1] or "").split()]
+    kept, groups = [], []
+    for i, t in sorted(left, key=lambda r: (r[0] is None, r[0] or 0)):
+        s = shingles(t or "")
+        if not s:
+            kept.append((i, t))
+        elif not any(100 * len(s & g) >= 80 * len(s | g) for g in groups):
+            kept.append((i, t))
+            groups.append(s)
+    passage = " ".join(f"p{k}" for k in range(20))
+    names = pii.Pseudonyms(PII_KEY)
+    want = Counter((i, pii.replace(t, names)[0] or "") for i, t in kept if t != passage)
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(corpus_pipeline.BPE_FILE)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in got) == Counter(
+        {(i, tuple(library.encode(t, add_special_tokens=False).ids)): n for (i, t), n in want.items()})
