@@ -422,3 +422,56 @@ def test_sketches_never_differ_by_more_than_the_sets():
     for a in range(len(sets)):
         for b in range(len(sets)):
             assert (bits[a] != bits[b]).sum() <= len(np.setxor1d(sets[a], sets[b]))
+
+
+def test_toxicity_counts_and_shares_in_plain_python(spark):
+    rng = random.Random(11)
+    texts = []
+    for k in range(400):
+        words = [f"w{min(rng.randrange(30), rng.randrange(30))}" for _ in range(rng.randrange(1, 15))]
+        if k % 4 == 0:
+            words[rng.randrange(len(words))] = rng.choice(["vile", "foul"])
+        texts.append((k, " ".join(words)))
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)], "doc_id long, toxic int")
+    counts, seen = {}, set()
+    for k, text in texts:
+        if text in seen:
+            continue
+        seen.add(text)
+        words = text.split()
+        for pair in {*zip(["", *words], words), *((" ", w) for w in words)}:
+            counts.setdefault(pair, [0, 0])[k % 4 != 0] += 1
+    held = toxicity._training_texts(docs_of(spark, texts), labels, "doc_id", "text", "toxic")
+    got = toxicity._gathered(held.mapInArrow(toxicity._counts, toxicity.FOLDED)).collect()
+    assert {(r["before"], r["word"]): [r["toxic"], r["ordinary"]] for r in got} == counts
+    assert len(got) == len(counts)
+
+    # Ratios of the words that tell the classes apart, from the shares as defined.
+    n = [sum(r["n"] for r in held.groupBy("toxic").count().withColumnRenamed("count", "n")
+             .filter(f"toxic = {flag}").collect()) for flag in ("true", "false")]
+
+    def telling(t, o):
+        both = (t + o) / (n[0] + n[1])
+
+        def part(seen_in, of):
+            return seen_in * np.log(seen_in / of) if seen_in else 0.0
+        evidence = 2 * (part(t, both * n[0]) + part(o, both * n[1]) + part(n[0] - t, (1 - both) * n[0])
+                        + part(n[1] - o, (1 - both) * n[1]))
+        contrast = np.log((t + .75) / (n[0] + .75) / ((o + .75) / (n[1] + .75)))
+        return evidence >= toxicity.EVIDENCE and abs(contrast) >= toxicity.CONTRAST
+    bigrams = {p: c for p, c in counts.items() if p[0] != " "}
+    words = {p[1]: c for p, c in counts.items() if p[0] == " "}
+    want = {}
+    for word, (t, o) in words.items():
+        if not telling(t, o):
+            continue
+        held_by = [c for p, c in bigrams.items() if p[1] == word]
+        shared = len(held_by) / len(bigrams)
+        share = [(max(sum(c[k] > 0 for c in held_by) - .75, 0) + .75 * sum(c[k] > 0 for c in words.values())
+                  * shared) / sum(c[k] > 0 for c in bigrams.values()) for k in (0, 1)]
+        if abs(np.log(share[0] / share[1])) >= toxicity.CONTRAST:
+            want[word] = np.log(share[0] / share[1])
+    model = toxicity.learn(docs_of(spark, texts), labels)
+    found = {r["term"]: r["ratio"] * toxicity.UNIT for r in model.terms.filter("NOT contains(term, ' ')").collect()}
+    assert {"vile", "foul"} <= set(want) and set(found) == set(want)
+    assert all(abs(found[w] - want[w]) < 1e-8 for w in want)
