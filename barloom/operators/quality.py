@@ -54,26 +54,42 @@ def checks_frame(spark: SparkSession, checks: list[tuple[str, bool, str]]) -> Da
     return spark.createDataFrame(checks, CHECK_SCHEMA)
 
 
-def audit_row(checks: DataFrame, run_id: str) -> DataFrame:
-    """One audit row over all checks of a run."""
+def audit_row(checks: DataFrame, run_id: str, parts: dict[str, str] | None = None,
+              facts: dict[str, object] | None = None) -> DataFrame:
+    """One audit row over all checks of a run.
+
+    ``parts`` adds a flag ``<part>_ok`` for each part: whether all checks whose name starts with the
+    given text passed (null if there is none). ``facts`` adds columns with given values, such as counts,
+    a marker or names.
+    """
+    flags = [F.bool_and(F.when(F.startswith("check", F.lit(start)), F.col("ok"))).alias(f"{part}_ok")
+             for part, start in (parts or {}).items()]
     failed = F.when(~F.col("ok"), F.concat_ws("=", "check", "detail"))
     return checks.agg(
         F.bool_and("ok").alias("all_ok"), F.count("*").alias("n_checks"),
         F.count_if(~F.col("ok")).alias("n_failed"),
-        F.array_join(F.array_sort(F.collect_list(failed)), " | ").alias("failures")).select(
+        F.array_join(F.array_sort(F.collect_list(failed)), " | ").alias("failures"), *flags).select(
             F.lit(run_id).alias("run_id"), F.current_timestamp().alias("checked_at"), "all_ok",
-            "n_checks", "n_failed",
+            "n_checks", "n_failed", *(f"{part}_ok" for part in parts or {}),
+            *(F.lit(v).alias(n) for n, v in (facts or {}).items()),
             F.when(F.col("n_failed") == 0, "all checks completed")
             .otherwise(F.col("failures")).alias("notes"))
 
 
 def append_audit(row: DataFrame, path: str) -> None:
+    """A row may have columns that earlier ones lack, or lack some of theirs."""
     row.write.mode("append").parquet(path)
 
 
-def run_gate(checks: DataFrame, run_id: str, audit_path: str) -> None:
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """All audit rows as one table: the columns of every file, null where a row was written without."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def run_gate(checks: DataFrame, run_id: str, audit_path: str, parts: dict[str, str] | None = None,
+             facts: dict[str, object] | None = None) -> None:
     """Write the audit row first, then raise one error that lists every failure."""
-    row = audit_row(checks, run_id)
+    row = audit_row(checks, run_id, parts, facts)
     append_audit(row, audit_path)
     failed = checks.filter(~F.col("ok")).orderBy("check").collect()
     if failed:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.functions import scalars as P
+from barloom.guards import DataCheckError
 from barloom.operators import quality as Q
 from barloom.operators import ticks as K
 from barloom.operators.bars import BAR_COLUMNS
@@ -125,15 +126,71 @@ def table_state(spark, sf_dir):
     return Q.table_state(Q.missing_names(["TWO", "CLICK", "ONE", "VIEW"], present), ticks)
 
 
-@query("dq4_audit_row", "run_id all_ok n_checks:i n_failed:i notes", NO_PREFIX, """
-SELECT 'nightly' AS run_id, true AS all_ok, 4 AS n_checks, 0 AS n_failed,
-    'all checks completed' AS notes
-FROM (SELECT count(*) AS n FROM orders) o WHERE n > 0""")
+AUDIT_SPEC = ("run_id all_ok n_checks:i n_failed:i tables_ok output_ok tick_count:i parquet_files_count:i "
+              "has_success_marker missing_tables notes")
+
+
+@query("dq4_audit_row", AUDIT_SPEC, MESSAGES, """
+SELECT 'nightly' AS run_id, true AS all_ok, 4 AS n_checks, 0 AS n_failed, NULL::BOOLEAN AS tables_ok,
+    NULL::BOOLEAN AS output_ok, NULL::BIGINT AS tick_count, NULL::BIGINT AS parquet_files_count,
+    NULL::BOOLEAN AS has_success_marker, NULL::VARCHAR AS missing_tables,
+    'all checks completed' AS notes FROM (SELECT count(*) AS n FROM orders) o WHERE n > 0
+UNION ALL
+SELECT 'failing', false, 6, 2, false, false, (SELECT count(*) FROM ticks), 0, false, 'checked_absent',
+    'output nowhere=parquet_files=0, success_marker=False | table checked_absent=does not exist'""")
 def audit_row(spark, sf_dir):
+    """A passing run of the older, narrower layout, then a failing one with all fields."""
     path = staging_path(spark, "audit")
     checks = []
     for name in TABLES:
         inputs.table(spark, sf_dir, name).createOrReplaceTempView(f"checked_{name}")
         checks.append(Q.has_rows(spark, f"checked_{name}"))
     Q.run_gate(Q.checks_frame(spark, checks), "nightly", path)
-    return spark.read.parquet(path)
+    nowhere = staging_path(spark, "nowhere")
+    files_count, marker = files.output_state(spark, nowhere)
+    absent = Q.has_rows(spark, "checked_absent")
+    name, ok, detail = Q.output_complete(spark, nowhere)
+    failing = Q.checks_frame(spark, [*checks, absent, ("output nowhere", ok, detail)])
+    try:
+        Q.run_gate(failing, "failing", path, {"tables": "table", "output": "output"}, {
+            "tick_count": inputs.ticks(spark, sf_dir).count(), "parquet_files_count": files_count,
+            "has_success_marker": marker, "missing_tables": "checked_absent"})
+    except DataCheckError:
+        return Q.read_audit(spark, path)
+    raise AssertionError("the gate let failed checks pass")
+
+
+# Header lines of price files, dealt over the symbols in their order.
+LAYOUTS = [["Date", "Open", "High", "Low", "Close", "Volume"], ["datetime", "Close", "Volume"],
+           ["Date", "Volume", "Close", "Low", "High", "Open"]]
+
+
+def _price_folder(spark, bars):
+    path = staging_path(spark, "prices")
+    bars = stage(bars.select("symbol", *(F.col(n.lower()).alias(n) for n in LAYOUTS[0])), "bars")
+    # One name per order priority.
+    names = sorted(r["symbol"] for r in bars.select("symbol").distinct().collect())
+    for k, name in enumerate(names):
+        rows = bars.filter(F.col("symbol") == name).withColumn("datetime", F.col("Date"))
+        files.write_named_csv(rows.select(LAYOUTS[k % 3]), path,
+                              name.replace("-", "+") if k % 3 == 0 else name)
+    return path
+
+
+@query("src3_price_files", BAR_SPEC, BARS + """,
+named AS (SELECT *, (dense_rank() OVER (ORDER BY symbol) - 1) % 3 AS layout FROM bars_day)""", """
+SELECT CASE WHEN layout = 0 THEN replace(symbol, '-', '+') ELSE symbol END AS symbol, date,
+    CASE WHEN layout = 1 THEN close ELSE open END AS open,
+    CASE WHEN layout = 1 THEN close ELSE high END AS high,
+    CASE WHEN layout = 1 THEN close ELSE low END AS low, close, volume FROM named""")
+def price_files(spark, sf_dir):
+    """A folder of one CSV file per symbol in three layouts, names with blanks and plus signs."""
+    return prices.read_price_csv(spark, _price_folder(spark, inputs.bars_day(spark, sf_dir)))
+
+
+@query("src4_close_history", "symbol date:d close:f", BARS + """,
+named AS (SELECT *, (dense_rank() OVER (ORDER BY symbol) - 1) % 3 AS layout FROM bars_month)""", """
+SELECT CASE WHEN layout = 0 THEN replace(symbol, '-', '+') ELSE symbol END AS symbol, date, close
+FROM named""")
+def close_history(spark, sf_dir):
+    return prices.read_close_history(spark, _price_folder(spark, inputs.bars_month(spark, sf_dir)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +66,16 @@ def output_state(spark: SparkSession, path: str) -> tuple[int, bool]:
     """Number of Parquet files and presence of the success marker."""
     names = folder_names(spark, path)
     return sum(n.endswith(".parquet") for n in names), "_SUCCESS" in names
+
+
+def write_named_csv(df: DataFrame, path: str, name: str) -> None:
+    """``<name>.csv`` with a header in a folder of price files; a symbol's bars are a file's worth."""
+    spark = df.sparkSession
+    fs, folder = _folder(spark, path)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    waiting = make(folder, f"_writing-{uuid.uuid4().hex}")
+    df.coalesce(1).write.option("header", True).csv(waiting.toString())
+    part = next(s.getPath() for s in fs.listStatus(waiting) if s.getPath().getName().endswith(".csv"))
+    if not fs.rename(part, make(folder, f"{name}.csv")):
+        raise OSError(f"{name}.csv could not be put into {path}")
+    fs.delete(waiting, True)

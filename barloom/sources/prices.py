@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.scalars import to_number
@@ -14,8 +14,6 @@ from barloom.operators.bars import clean_bars
 
 # Accepted header names of the date column, in order of preference.
 DATE_HEADERS = ["Date", "date", "Datetime", "datetime"]
-# Bytes of a file in which its header line ends.
-HEADER_BYTES = 8192
 PRICE_HEADERS = ["Open", "High", "Low", "Close", "Volume"]
 
 
@@ -27,18 +25,29 @@ def read_price_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     raw = spark.read.option("header", True).csv(path)
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
-    return raw.withColumn("symbol", F.url_decode(stem))
+    return raw.withColumn("symbol", _decoded(stem))
+
+
+def _decoded(name: Column) -> Column:
+    """A file's name or path as it is: it arrives percent-encoded, but for a plus sign, which decoding
+    alone would turn into a blank."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
     """The files at ``path``, grouped by their header line; files without one are left out.
 
-    Only file names and header lines reach the driver, as with Spark's own file listing.
+    Files are read as lines in splits, so none is held whole, and a file's header is the first line
+    that is not blank of its first split. Only file names and header lines reach the driver, as with
+    Spark's own file listing.
     """
-    head = F.decode(F.substring(F.col("content"), 1, HEADER_BYTES), "UTF-8")
-    line = F.trim(F.regexp_extract(head, r"^\x{FEFF}?([^\r\n]*)", 1))
-    files = spark.read.format("binaryFile").load(path).select("path", line.alias("line")) \
-        .filter("line <> ''").collect()
+    lines = spark.read.text(path).select(
+        _decoded(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.regexp_replace("value", r"^\x{FEFF}", "").alias("line"))
+    # The lines of a split are numbered in their order, and the fold keeps one line per file and task.
+    numbered = lines.filter("start = 0 AND trim(line) <> ''").withColumn(
+        "number", F.monotonically_increasing_id())
+    files = numbered.groupBy("path").agg(F.min_by(F.trim("line"), "number").alias("line")).collect()
     groups: dict[str, list[str]] = {}
     for row in sorted(files):
         groups.setdefault(row["line"], []).append(row["path"])

@@ -301,6 +301,30 @@ def test_checks_audit_and_gate(spark, tmp_path):
     assert rows["run-2"].notes == "all checks completed"
 
 
+def test_audit_rows_of_two_layouts_read_as_one_table(spark, tmp_path):
+    audit = str(tmp_path / "audit")
+    ok = Q.checks_frame(spark, [("table a", True, ""), ("output o", True, "")])
+    Q.run_gate(ok, "old", audit)
+    Q.run_gate(ok, "new", audit, {"tables": "table", "kafka": "topic"},
+               {"tick_count": 7, "missing_tables": ""})
+    rows = {r.run_id: r for r in Q.read_audit(spark, audit).collect()}
+    assert (rows["old"].tables_ok, rows["old"].tick_count, rows["old"].all_ok) == (None, None, True)
+    assert (rows["new"].tables_ok, rows["new"].kafka_ok, rows["new"].tick_count) == (True, None, 7)
+
+
+def test_price_file_names_and_headers(spark, tmp_path):
+    from barloom.sources.prices import by_header, read_close_history
+    names = ["A+B", "A B", "X%Y", "BRK%20A", "É.1"]
+    for k, name in enumerate(names):
+        text = f"\ufeff\n\nDate,Close\n2020-01-0{k + 1},{k}\n" if k == 2 else f"Date,Close\n2020-01-0{k + 1},{k}\n"
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "other.csv").write_text("x" * 20_000 + ",date,close\n1,2020-01-09,9\n")
+    assert sorted(len(g) for g in by_header(spark, str(tmp_path))) == [1, 5]
+    got = {r["symbol"]: r["close"] for r in read_close_history(spark, str(tmp_path)).collect()}
+    assert got == {name: float(k) for k, name in enumerate(names)} | {"other": 9.0}
+
+
 def test_missing_tables_and_tick_count(spark):
     present = spark.createDataFrame([("predictions",), ("pipeline_audit",)], "table_name string")
     missing = Q.missing_names(["predictions", "ticks", "model_registry"], present)
