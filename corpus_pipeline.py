@@ -114,7 +114,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Repeated rows give equal rows; extra columns of ``docs`` are not part of the result.
     """
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), BPE_FILE)
+    # Written between: encoders and decoders at work at once would double the memory of the workers.
+    encoded = stage_table(bpe.encode(docs.select("doc_id", "lang", "source", "text"), BPE_FILE), "encoded")
     return bpe.decode(encoded, BPE_FILE).select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
