@@ -1,40 +1,40 @@
-"""Toxicity by a lexicon of words and bigrams whose Kneser-Ney class probabilities differ."""
+"""Toxicity by two class-conditional Kneser-Ney bigram models, compared over every word of a text."""
 
 from __future__ import annotations
 
-import hashlib
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from barloom.llm.arrow import with_columns
+from barloom.llm import class_models
 from barloom.session import stage
 
 DISCOUNT = 0.75
-# Evidence (log-likelihood-ratio statistic of document counts) from which a word or bigram keeps
-# its own counts per class; with less, both classes use the shared backoff counts.
+# Evidence (log-likelihood-ratio statistic of document counts) from which a word or bigram is listed
+# among a model's telling terms; scores use all of them.
 EVIDENCE = 30.0
-# Smallest ratio of the two class probabilities that counts as a difference, as a logarithm.
+# Smallest ratio of the two class probabilities of a listed term, as a logarithm.
 CONTRAST = math.log(4)
 # Rows of a table up to which it is broadcast; above it both sides are shuffled, with the same result.
 BROADCAST_ROWS = 200_000
 # Labels up to which they are broadcast to the documents; above it both sides are shuffled.
 BROADCAST_LABELS = 250_000
-# Log ratios are added as whole multiples of this, so that the order of adding changes nothing.
+# Differences of texts up to which they are broadcast to the documents.
+BROADCAST_TEXTS = 500_000
+# Log ratios of the telling terms are whole multiples of this.
 UNIT = 1e-9
 # Entries that a task folds or holds before it hands them on.
 ENTRIES_OUT = 400_000
 # Length-normalised differences are told apart in steps of this size when the threshold is learnt.
-STEP = 1e-4
+STEP = 1e-5
 # Partitions over which the followers of a context of up to SHORT letters are dealt.
 SHORT, PARTS = 3, 64
 FOLDED = "before string, part int, words string, toxic array<int>, ordinary array<int>"
@@ -50,19 +50,28 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log ratios of the class probabilities, where they differ, and the learnt threshold.
+    """Both class models (none if a class has no text) and the learnt threshold of their difference."""
 
-    ``terms`` has (term, ratio), ratios in multiples of UNIT: a word, or two words and a blank between
-    for what their bigram adds to the second word's ratio. It has no bound but the texts learnt from.
-    """
-
-    terms: DataFrame | None
+    models: class_models.Models | None
     threshold: float
     slope: float
+    texts: DataFrame | None = None
+
+    @cached_property
+    def terms(self) -> DataFrame | None:
+        """(term, ratio): what tells the classes apart most, for the reader; scores do not use it.
+
+        Ratios are in multiples of UNIT: a word's, or, for two words and a blank between, what their
+        bigram adds to the second word's. Worked out when asked for, from all the texts learnt.
+        """
+        if self.texts is None:
+            return None
+        counts = stage(_gathered(self.texts.mapInArrow(_counts, FOLDED)), "counts")
+        return stage(_terms(counts, _sizes(self.texts)), "terms")
 
     @property
     def words(self) -> Iterator[str]:
-        """The words with a ratio, streamed from the table."""
+        """The words among the terms, streamed from the table."""
         if self.terms is not None:
             for row in self.terms.filter("NOT contains(term, ' ')").select("term").toLocalIterator():
                 yield row["term"]
@@ -74,23 +83,23 @@ def learnable(id_col: str = "doc_id", folds: int = 5, held_out: int = 0) -> Colu
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
-    """Fit both classes on all given labelled documents; counts are taken by Spark over all of them.
-
-    Each distinct text counts once, with the label of its smallest id, and each word or bigram
-    once per text, so that copies and repetitions carry no more weight than one use. All bigrams of
-    all words are counted. A class's word probability is its Kneser-Ney continuation share (distinct
-    contexts) interpolated with the continuation share of both classes together; a bigram's
-    interpolates with that. Words and bigrams whose document counts do not tell the classes apart,
-    or whose probabilities are alike, fall back to the shared counts in both classes and cancel out;
-    what remains is a lexicon of log ratios, of any size. Rows with a null id, label or text teach
-    nothing, repeated rows of the chosen id teach as often; without both classes nothing is toxic.
+    """Fit both class models on all given labelled documents; Spark takes the counts over all of them.
+
+    Each distinct text counts once, with the label of its smallest id, and each bigram once per text,
+    so that copies and repetitions carry no more weight than one use. All bigrams of all words are
+    counted and every one has its weight: see ``class_models.log_ratio``. Rows with a null id, label or
+    text teach nothing, repeated rows of the chosen id teach as often; without both classes nothing is
+    toxic.
     """
     texts = _training_texts(docs, labels, id_col, text_col, label_col)
-    size = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(size) < 2:
+    if len(_sizes(texts)) < 2:
         return Model(None, 0.5, 1.0)
-    counts = stage(_gathered(texts.mapInArrow(_counts, FOLDED)), "counts")
-    return _with_threshold(texts, stage(_terms(counts, size), "terms"))
+    chars = texts.agg(F.sum(F.char_length("text"))).first()[0]
+    return _with_threshold(texts, class_models.learn(texts, chars, words_of))
+
+
+def _sizes(texts: DataFrame) -> dict[bool, int]:
+    return {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
 
 def _training_texts(docs, labels, id_col, text_col, label_col) -> DataFrame:
@@ -237,102 +246,32 @@ def _terms(counts: DataFrame, size: dict[bool, int]) -> DataFrame:
     return held.withColumnRenamed("word", "term").union(pairs)
 
 
-def _uses(text: str | None) -> tuple[Counter, int]:
-    """How often a text uses each term, and its number of words."""
-    words = words_of(text)
-    uses = Counter(words)
-    uses.update([f"{a} {b}" for a, b in zip([EMPTY, *words], words)])
-    return uses, len(words)
-
-
-def _text_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(print, term, n, size): ``size`` is the number of words, in one row of each text, else 0."""
-    kinds = {"print": pa.binary(), "term": pa.string(), "n": pa.int64(), "size": pa.int64()}
-    held: dict[str, list] = {name: [] for name in kinds}
+def _with_threshold(texts: DataFrame, models: class_models.Models) -> Model:
+    """The backoff, and threshold on its difference per word, that err least on the training texts.
 
-    def handed_on() -> pa.RecordBatch:
-        made = pa.RecordBatch.from_arrays([pa.array(held[k], kind) for k, kind in kinds.items()],
-                                          names=list(kinds))
-        for values in held.values():
-            values.clear()
-        return made
-
-    for batch in batches:
-        for text in batch.column(0):
-            uses, size = _uses(text.as_py())
-            if not size:
-                continue
-            held["print"] += [hashlib.md5(text.as_py().encode()).digest()] * len(uses)
-            held["term"] += uses
-            held["n"] += uses.values()
-            held["size"] += [size] + [0] * (len(uses) - 1)
-            if len(held["n"]) >= ENTRIES_OUT:
-                yield handed_on()
-    if held["n"]:
-        yield handed_on()
-
-
-def _with_difference(docs: DataFrame, terms: DataFrame, text_col: str, out_col: str) -> DataFrame:
-    """``docs`` with the log-likelihood under the toxic class less that under the ordinary one, per word.
-
-    A lexicon of up to BROADCAST_ROWS terms is looked up where the texts are; a larger one is joined
-    to the terms of the texts. Both add the same whole numbers, and 0 for a text without words.
+    Each is judged by the counts of all the others.
     """
-    known = terms.limit(BROADCAST_ROWS + 1).collect()
-    if len(known) > BROADCAST_ROWS:
-        return _joined_difference(docs, terms, text_col, out_col)
-    words = {r["term"]: r["ratio"] for r in known if " " not in r["term"]}
-    pairs = {tuple(r["term"].split(" ")): r["ratio"] for r in known if " " in r["term"]}
-    lasts = words.keys() | {p[1] for p in pairs}
-    held = docs.sparkSession.sparkContext.broadcast((words, pairs, lasts))
-
-    def start():
-        words, pairs, lasts = held.value
-
-        def difference(text: str | None) -> tuple[float]:
-            used = words_of(text)
-            if lasts.isdisjoint(used):
-                return (0.0,)
-            total, before = 0, EMPTY
-            for word in used:
-                if word in lasts:
-                    total += words.get(word, 0) + pairs.get((before, word), 0)
-                before = word
-            return (total * UNIT / len(used),)
-        return difference
-    return with_columns(docs, text_col, [T.StructField(out_col, T.DoubleType())], start)
-
-
-def _joined_difference(docs: DataFrame, terms: DataFrame, text_col: str, out_col: str) -> DataFrame:
-    """The same by a join of each text's distinct terms, folded per text; copies add to both sums."""
-    text = F.col(f"`{text_col}`")
-    used = docs.select(text).mapInArrow(_text_terms, "print binary, term string, n long, size long")
-    found = stage(used.join(terms, "term", "left").groupBy("print").agg(
-        F.sum(F.col("n") * F.coalesce("ratio", F.lit(0))).alias("total"), F.sum("size").alias("size"))
-        .select("print", (F.col("total") * UNIT / F.col("size")).alias("difference")), "differences")
-    kept = [F.col(f"docs.`{c}`") for c in docs.columns if c != out_col]
-    return (docs.alias("docs").join(_sized(found).alias("found"),
-                                    F.unhex(F.md5(F.col(f"docs.`{text_col}`"))) == F.col("found.print"),
-                                    "left")
-            .select(*kept, F.coalesce("found.difference", F.lit(0.0)).alias(out_col)))
-
-
-def _with_threshold(texts: DataFrame, terms: DataFrame) -> Model:
-    """The threshold on the difference per word that errs least on the training texts."""
+    known = texts.select("text", F.when(F.col("toxic"), 2).otherwise(1).alias("class"))
     bounded = F.greatest(F.least("difference", F.lit(20.0)), F.lit(-1.0))
-    counts = (_with_difference(texts, terms, "text", "difference")
-              .groupBy(F.floor(bounded / STEP).alias("at")).agg(
-        F.count(F.when(F.col("toxic"), 1)).alias("t"),
-        F.count(F.when(~F.col("toxic"), 1)).alias("o")).orderBy("at").collect())
-    at = np.array([r["at"] for r in counts])
-    toxic, ordinary = (np.array([r[k] for r in counts], dtype=float) for k in ("t", "o"))
-    # Errors of 'toxic from bin k on': toxic texts below, ordinary ones from there.
-    errors = np.append(0, np.cumsum(toxic)) + np.append(np.cumsum(ordinary[::-1])[::-1], 0)
-    best = np.flatnonzero(errors == errors.min())
-    edges = [at[k - 1] + 1 if k else at[0] for k in best[:1]]
-    upper = at[best[0]] if best[0] < len(at) else edges[0] + 1
-    threshold = max((edges[0] + upper) / 2, 0.5) * STEP
-    return Model(terms, float(threshold), math.log(9) / float(threshold))
+    counts = (class_models.differences(known, models, words_of)
+              .groupBy("backoff", F.floor(bounded / STEP).alias("at")).agg(
+        F.count(F.when(F.col("class") == 2, 1)).alias("t"),
+        F.count(F.when(F.col("class") == 1, 1)).alias("o")).orderBy("at").collect())
+    if not counts:
+        return Model(None, 0.5, 1.0)
+    tried = []
+    for k, backoff in enumerate(models.backoffs):
+        rows = [r for r in counts if r["backoff"] == k]
+        at = np.array([r["at"] for r in rows])
+        toxic, ordinary = (np.array([r[c] for r in rows], dtype=float) for c in ("t", "o"))
+        # Errors of 'toxic from bin j on': toxic texts below, ordinary ones from there.
+        errors = np.append(0, np.cumsum(toxic)) + np.append(np.cumsum(ordinary[::-1])[::-1], 0)
+        best = int(np.argmin(errors))
+        low = at[best - 1] + 1 if best else at[0]
+        high = at[best] if best < len(at) else low + 1
+        tried.append((errors[best], k, backoff, max((low + high) / 2, 0.5) * STEP))
+    _, _, backoff, threshold = min(tried)
+    return Model(replace(models, backoffs=(backoff,)), float(threshold), math.log(9) / float(threshold), texts)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text",
@@ -342,9 +281,19 @@ def score(docs: DataFrame, model: Model, text_col: str = "text",
     Whole texts are scored; null, empty and wordless ones have no difference, which lies below the
     threshold. All rows and other columns stay; a column named ``score_col`` is replaced.
     """
-    if model.terms is None:
+    if model.models is None:
         return docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != score_col),
                            F.lit(1 / (1 + math.exp(model.slope * model.threshold))).alias(score_col))
-    steep = model.slope * (F.col(f"`{score_col}`") - model.threshold)
-    return _with_difference(docs, model.terms, text_col, score_col).withColumn(
-        score_col, 1 / (1 + F.exp(-F.greatest(F.least(steep, F.lit(500.0)), F.lit(-500.0)))))
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"), F.lit(0).alias("class"))
+    found = stage(class_models.differences(texts, model.models, words_of).select("print", "difference")
+                  .dropDuplicates(["print"]), "differences")
+    found = F.broadcast(found) if found.count() <= BROADCAST_TEXTS else found
+    mark = "print"
+    while mark.lower() in {c.lower() for c in docs.columns}:
+        mark += "_"
+    # The digest is a column before the join, so that texts nobody asks for are not shuffled.
+    marked = docs.withColumn(mark, F.unhex(F.md5(F.col(f"`{text_col}`")))).alias("docs")
+    steep = model.slope * (F.coalesce("found.difference", F.lit(0.0)) - model.threshold)
+    return (marked.join(found.alias("found"), F.col(f"docs.`{mark}`") == F.col("found.print"), "left")
+            .select(*(F.col(f"docs.`{c}`") for c in docs.columns if c != score_col),
+                    (1 / (1 + F.exp(-F.greatest(F.least(steep, F.lit(500.0)), F.lit(-500.0))))).alias(score_col)))

@@ -475,3 +475,47 @@ def test_toxicity_counts_and_shares_in_plain_python(spark):
     found = {r["term"]: r["ratio"] * toxicity.UNIT for r in model.terms.filter("NOT contains(term, ' ')").collect()}
     assert {"vile", "foul"} <= set(want) and set(found) == set(want)
     assert all(abs(found[w] - want[w]) < 1e-8 for w in want)
+
+
+def test_toxicity_is_both_log_likelihoods_over_every_word(spark):
+    rng = random.Random(12)
+    texts = []
+    for k in range(120):
+        words = [f"w{min(rng.randrange(25), rng.randrange(25))}" for _ in range(rng.randrange(2, 20))]
+        if k % 4 == 0:
+            words[rng.randrange(len(words))] = "vile"
+        texts.append((k, " ".join(words)))
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(120)], "doc_id long, toxic int")
+    model = toxicity.learn(docs_of(spark, texts), labels)
+    counts, seen = ({}, {}), set()
+    for k, text in texts:
+        if text not in seen:
+            seen.add(text)
+            words = text.split()
+            for pair in {*zip([None, *words], words)}:
+                counts[k % 4 != 0][pair] = counts[k % 4 != 0].get(pair, 0) + 1
+    size = len({w for of in counts for _, w in of}) + 1
+    strength = model.models.backoffs[0]
+
+    def probability(of, before, word):
+        def discount(values):
+            ones, twos = values.count(1), values.count(2)
+            return ones / (ones + 2 * twos) if ones and twos else .75
+        contexts = [sum(w == x for _, w in of) for x in {w for _, w in of}]
+        d = discount(contexts)
+        alone = (max(sum(w == word for _, w in of) - d, 0) + d * len(contexts) / size) / len(of)
+        d = discount(list(of.values()))
+        followers = [n for (v, _), n in of.items() if v == before]
+        prior = strength * sum(of.values())
+        return (max(of.get((before, word), 0) - d, 0) + (d * len(followers) + prior) * alone) \
+            / (sum(followers) + prior)
+    # Ordinary words only, words never learnt, and texts learnt from, which are scored by all counts.
+    asked = ["w1 w2 w0 w0 w0 w3", "w24", "new words w1 new words", "w3 vile w3", *(t for _, t in texts[:9])]
+    found = toxicity.score(docs_of(spark, list(enumerate(asked))), model).collect()
+    assert len(found) == len(asked)
+    for row in found:
+        words = row["text"].split()
+        want = sum(np.log(.99 + .01 * probability(counts[0], v, w) / probability(counts[1], v, w))
+                   for v, w in zip([None, *words], words)) / len(words)
+        got = model.threshold + np.log(row["score"] / (1 - row["score"])) / model.slope
+        assert want != 0 and abs(got - want) < 1e-6, row["text"]
