@@ -33,9 +33,9 @@ WEIGHT = 0.01
 # Log ratios are added as whole multiples of this, so that the order of adding changes nothing.
 GRAIN = 1e-6
 # Characters of the texts that are split into words at once, and of those counted in one bucket.
-PIECE, BUCKET = 1 << 20, 8_000_000
+PIECE, BUCKET = 1 << 20, 12_000_000
 # Uses of bigrams that a task holds before it hands them on.
-ENTRIES_OUT = 2_000_000
+ENTRIES_OUT = 1_700_000
 # The word of a bigram, which is the rank of the word before it, shifted by 32, and the word's rank.
 WORD = (1 << 32) - 1
 # The class of a text stands above its place in the chunk.
@@ -46,7 +46,7 @@ COUNTED = "bucket int, keys binary, c0 binary, c1 binary"
 SUMMED = "bucket int, keys binary, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary, c5 binary"
 ASKED = "bucket int, chunk long, keys binary, codes binary, uses binary"
 ANSWERED = "chunk long, prints binary, codes binary, sums binary"
-FOUND = "print binary, class int, backoff int, difference double"
+FOUND = "print binary, class int, backoff int, difference double, left_out double"
 
 
 def pack(values: np.ndarray, signed: bool = False) -> bytes:
@@ -390,11 +390,12 @@ def learn(texts: DataFrame, chars: int, words_of: Callable) -> Models:
 
 
 def differences(texts: DataFrame, models: Models, words_of: Callable) -> DataFrame:
-    """(print, class, backoff, difference) of (text, class), a row for each text with words and backoff.
+    """(print, class, backoff, difference, left_out) of (text, class), a row for each text and backoff.
 
     ``print`` is the text's md5, ``difference`` its log-likelihood under the toxic model less that
-    under the ordinary one, per word, over all its words. Of a text with a class (1 ordinary, 2 toxic)
-    its own uses are left out of the counts; 0 is no class.
+    under the ordinary one, per word, over all its words, 0 without any. Of a text with a class
+    (1 ordinary, 2 toxic; 0 is none) ``left_out`` has its own uses left out of the counts. Null and
+    empty texts have no row.
     """
     words, sides, buckets, backoffs = models.words, models.sides, models.buckets, models.backoffs
 
@@ -422,13 +423,11 @@ def differences(texts: DataFrame, models: Models, words_of: Callable) -> DataFra
             hashes, places, ends = _hashed(piece, words_of)
             ranks = known.ranks(hashes)[places]
             for k, text in enumerate(piece):
-                if ends[k] == ends[k + 1]:
-                    continue
                 held.append(np.unique(known.bigrams(ranks[ends[k]:ends[k + 1]]), return_counts=True))
                 codes.append(classes[k] << CLASS | len(codes))
                 prints.append(hashlib.md5(text.encode()).digest())
                 sizes.append(int(ends[k + 1] - ends[k]))
-                size += len(held[-1][0])
+                size += len(held[-1][0]) + 1
             if size >= ENTRIES_OUT:
                 yield handed_on(prints, sizes, held, codes)
                 prints, sizes, held, codes, size = [], [], [], [], 0
@@ -453,9 +452,16 @@ def differences(texts: DataFrame, models: Models, words_of: Callable) -> DataFra
             at = np.where(pairs[at] == wanted, at, len(pairs))
             there, place = np.unique(docs, return_inverse=True)
             sums = []
+            known = np.flatnonzero(kinds)
             for backoff in backoffs:
-                ratio = log_ratio(side, backoff, wanted >> 32, wanted & WORD, (n[0][at], n[1][at]), kinds)
-                sums.append(np.bincount(place, np.rint(ratio / GRAIN) * uses, len(there)).astype(np.int64))
+                told = [np.rint(log_ratio(side, backoff, wanted[of] >> 32, wanted[of] & WORD,
+                                          (n[0][at[of]], n[1][at[of]]), own) / GRAIN) * uses[of]
+                        for of, own in ((slice(None), 0), (known, kinds[known]))]
+                more = told[1] - told[0][known]
+                sums += [np.bincount(place, told[0], len(there)).astype(np.int64),
+                         np.bincount(place[known], more, len(there)).astype(np.int64)]
+            # The backoffs differ little: after the first, only by how much is told.
+            sums = sums[:2] + [value - sums[k % 2] for k, value in enumerate(sums[2:])]
             rows.append((chunk.as_py(), None, pack_sorted(there), pack(np.concatenate(sums), signed=True)))
         columns = [list(c) for c in zip(*rows)] or [[], [], [], []]
         return pa.Table.from_batches([_rows(columns, _arrow(ANSWERED))])
@@ -465,13 +471,17 @@ def differences(texts: DataFrame, models: Models, words_of: Callable) -> DataFra
         rows = table.to_pylist()
         whole = next(row for row in rows if row["prints"] is not None)
         kinds, sizes = unpack(whole["codes"]) >> CLASS, unpack(whole["sums"])
-        total = np.zeros((len(backoffs), len(sizes)), np.int64)
+        total = np.zeros((2 * len(backoffs), len(sizes)), np.int64)
         for row in rows:
             if row["prints"] is None:
-                total[:, unpack_sorted(row["codes"])] += unpack(row["sums"], signed=True).reshape(len(backoffs), -1)
+                total[:, unpack_sorted(row["codes"])] += unpack(row["sums"], signed=True).reshape(len(total), -1)
         prints = [whole["prints"][k:k + 16] for k in range(0, len(whole["prints"]), 16)]
-        return pa.Table.from_batches([_rows([prints, kinds, np.full(len(sizes), k), total[k] * GRAIN / sizes],
-                                            _arrow(FOUND)) for k in range(len(backoffs))])
+        sizes = np.maximum(sizes, 1)
+        for k in range(2, len(total)):
+            total[k] += total[k % 2]
+        return pa.Table.from_batches([
+            _rows([prints, kinds, np.full(len(sizes), k), total[2 * k] * GRAIN / sizes,
+                   (total[2 * k] + total[2 * k + 1]) * GRAIN / sizes], _arrow(FOUND)) for k in range(len(backoffs))])
 
     asking = texts.mapInArrow(asked, ASKED).repartition(buckets, "bucket")
     answers = asking.groupBy("bucket").cogroup(models.counts.repartition(buckets, "bucket").groupBy("bucket")) \

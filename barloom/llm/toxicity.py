@@ -50,12 +50,16 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Both class models (none if a class has no text) and the learnt threshold of their difference."""
+    """Both class models (none if a class has no text) and the learnt threshold of their difference.
+
+    ``found`` has (print, difference) of all texts given to learn from, labelled or not.
+    """
 
     models: class_models.Models | None
     threshold: float
     slope: float
     texts: DataFrame | None = None
+    found: DataFrame | None = None
 
     @cached_property
     def terms(self) -> DataFrame | None:
@@ -91,32 +95,48 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     text teach nothing, repeated rows of the chosen id teach as often; without both classes nothing is
     toxic.
     """
-    texts = _training_texts(docs, labels, id_col, text_col, label_col)
+    chosen = _chosen(docs, labels, id_col, text_col, label_col)
+    texts = _texts(docs, chosen, id_col, text_col)
     if len(_sizes(texts)) < 2:
         return Model(None, 0.5, 1.0)
     chars = texts.agg(F.sum(F.char_length("text"))).first()[0]
-    return _with_threshold(texts, class_models.learn(texts, chars, words_of))
+    models = class_models.learn(texts, chars, words_of)
+    kind = F.when(F.md5("text") == F.col("print"), F.when(F.col("toxic"), 2).otherwise(1)).otherwise(0)
+    marked = _rows(docs, id_col, text_col).join(chosen, "id", "left").select("text", kind.alias("class"))
+    # One pass over all texts, labelled or not: their bigrams are shuffled once for both uses.
+    found = stage(class_models.differences(marked, models, words_of), "differences")
+    return _with_threshold(texts, models, found)
 
 
 def _sizes(texts: DataFrame) -> dict[bool, int]:
     return {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
 
-def _training_texts(docs, labels, id_col, text_col, label_col) -> DataFrame:
-    """(text, toxic): each distinct labelled text once."""
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+
+
+def _chosen(docs, labels, id_col, text_col, label_col) -> DataFrame:
+    """(id, toxic, print): the row that stands for each distinct labelled text."""
     known = labels.select(F.col(id_col).alias("id"), (F.col(label_col) == 1).alias("toxic")) \
         .filter("id IS NOT NULL AND toxic IS NOT NULL")
     if known.count() <= BROADCAST_LABELS:
         known = F.broadcast(known)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .filter("text IS NOT NULL")
-    prints = rows.join(known, "id").select("id", "toxic", F.md5("text").alias("print"))
+    prints = _rows(docs, id_col, text_col).join(known, "id").select("id", "toxic", F.md5("text").alias("print"))
     once = stage(prints.groupBy("print").agg(F.min(F.struct("id", "toxic")).alias("one"))
                  .select("one.id", "one.toxic", "print").dropDuplicates(["id"]), "once")
-    if once.count() <= BROADCAST_LABELS:
-        once = F.broadcast(once)
+    return F.broadcast(once) if once.count() <= BROADCAST_LABELS else once
+
+
+def _texts(docs, chosen, id_col, text_col) -> DataFrame:
     # Read anew by each pass: a copy of the texts would cost more than the reading.
-    return rows.join(once, "id").filter(F.md5("text") == F.col("print")).select("text", "toxic")
+    return (_rows(docs, id_col, text_col).join(chosen, "id")
+            .filter(F.md5("text") == F.col("print")).select("text", "toxic"))
+
+
+def _training_texts(docs, labels, id_col, text_col, label_col) -> DataFrame:
+    """(text, toxic): each distinct labelled text once."""
+    return _texts(docs, _chosen(docs, labels, id_col, text_col, label_col), id_col, text_col)
 
 
 def _gathered(folded: DataFrame) -> DataFrame:
@@ -246,15 +266,13 @@ def _terms(counts: DataFrame, size: dict[bool, int]) -> DataFrame:
     return held.withColumnRenamed("word", "term").union(pairs)
 
 
-def _with_threshold(texts: DataFrame, models: class_models.Models) -> Model:
+def _with_threshold(texts: DataFrame, models: class_models.Models, found: DataFrame) -> Model:
     """The backoff, and threshold on its difference per word, that err least on the training texts.
 
     Each is judged by the counts of all the others.
     """
-    known = texts.select("text", F.when(F.col("toxic"), 2).otherwise(1).alias("class"))
-    bounded = F.greatest(F.least("difference", F.lit(20.0)), F.lit(-1.0))
-    counts = (class_models.differences(known, models, words_of)
-              .groupBy("backoff", F.floor(bounded / STEP).alias("at")).agg(
+    bounded = F.greatest(F.least("left_out", F.lit(20.0)), F.lit(-1.0))
+    counts = (found.filter("class > 0").groupBy("backoff", F.floor(bounded / STEP).alias("at")).agg(
         F.count(F.when(F.col("class") == 2, 1)).alias("t"),
         F.count(F.when(F.col("class") == 1, 1)).alias("o")).orderBy("at").collect())
     if not counts:
@@ -270,8 +288,14 @@ def _with_threshold(texts: DataFrame, models: class_models.Models) -> Model:
         low = at[best - 1] + 1 if best else at[0]
         high = at[best] if best < len(at) else low + 1
         tried.append((errors[best], k, backoff, max((low + high) / 2, 0.5) * STEP))
-    _, _, backoff, threshold = min(tried)
-    return Model(replace(models, backoffs=(backoff,)), float(threshold), math.log(9) / float(threshold), texts)
+    _, k, backoff, threshold = min(tried)
+    known = found.filter(F.col("backoff") == k).select("print", "difference").dropDuplicates(["print"])
+    return Model(replace(models, backoffs=(backoff,)), float(threshold), math.log(9) / float(threshold), texts,
+                 stage(known, "known"))
+
+
+def _few(prints: DataFrame) -> DataFrame:
+    return F.broadcast(prints) if prints.count() <= BROADCAST_TEXTS else prints
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text",
@@ -284,16 +308,20 @@ def score(docs: DataFrame, model: Model, text_col: str = "text",
     if model.models is None:
         return docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != score_col),
                            F.lit(1 / (1 + math.exp(model.slope * model.threshold))).alias(score_col))
-    texts = docs.select(F.col(f"`{text_col}`").alias("text"), F.lit(0).alias("class"))
-    found = stage(class_models.differences(texts, model.models, words_of).select("print", "difference")
-                  .dropDuplicates(["print"]), "differences")
-    found = F.broadcast(found) if found.count() <= BROADCAST_TEXTS else found
+    found, text = model.found, F.col(f"`{text_col}`").alias("text")
+    prints = docs.select(text).filter("text <> ''").select(F.unhex(F.md5("text")).alias("print"))
+    fresh = stage(prints.join(_few(found), "print", "left_anti").distinct(), "fresh")
+    if not fresh.isEmpty():
+        texts = docs.select(text).filter("text <> ''").join(
+            _few(fresh), F.unhex(F.md5("text")) == F.col("print"), "left_semi").select("text", F.lit(0).alias("class"))
+        found = stage(found.union(class_models.differences(texts, model.models, words_of)
+                                  .select("print", "difference").dropDuplicates(["print"])), "differences")
     mark = "print"
     while mark.lower() in {c.lower() for c in docs.columns}:
         mark += "_"
     # The digest is a column before the join, so that texts nobody asks for are not shuffled.
     marked = docs.withColumn(mark, F.unhex(F.md5(F.col(f"`{text_col}`")))).alias("docs")
     steep = model.slope * (F.coalesce("found.difference", F.lit(0.0)) - model.threshold)
-    return (marked.join(found.alias("found"), F.col(f"docs.`{mark}`") == F.col("found.print"), "left")
+    return (marked.join(_few(found).alias("found"), F.col(f"docs.`{mark}`") == F.col("found.print"), "left")
             .select(*(F.col(f"docs.`{c}`") for c in docs.columns if c != score_col),
                     (1 / (1 + F.exp(-F.greatest(F.least(steep, F.lit(500.0)), F.lit(-500.0))))).alias(score_col)))
