@@ -12,6 +12,7 @@ import hashlib
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -33,9 +34,9 @@ WEIGHT = 0.01
 # Log ratios are added as whole multiples of this, so that the order of adding changes nothing.
 GRAIN = 1e-6
 # Characters of the texts that are split into words at once, and of those counted in one bucket.
-PIECE, BUCKET = 1 << 20, 12_000_000
+PIECE, BUCKET = 1 << 19, 12_000_000
 # Uses of bigrams that a task holds before it hands them on.
-ENTRIES_OUT = 1_700_000
+ENTRIES_OUT = 500_000
 # The word of a bigram, which is the rank of the word before it, shifted by 32, and the word's rank.
 WORD = (1 << 32) - 1
 # The class of a text stands above its place in the chunk.
@@ -134,11 +135,21 @@ def _arrow(ddl: str) -> pa.Schema:
 class Words:
     """The words learnt, as sorted hashes, and their ranks by frequency, which leaves bigrams short.
 
-    ``other`` stands for all other words, ``start`` for no word.
+    ``other`` stands for all other words, ``start`` for no word. ``uses``, packed, has how often each
+    is used. Broadcast packed: every machine keeps a copy on disk.
     """
 
     hashes: np.ndarray
-    frequency: np.ndarray
+    uses: bytes
+
+    def __reduce__(self):
+        return _words, (pack_sorted(self.hashes), self.uses)
+
+    @cached_property
+    def frequency(self) -> np.ndarray:
+        ranks = np.empty(len(self.hashes), np.int32)
+        ranks[np.argsort(-unpack(self.uses), kind="stable")] = np.arange(len(ranks), dtype=np.int32)
+        return ranks
 
     @property
     def other(self) -> int:
@@ -162,6 +173,10 @@ class Words:
         return np.concatenate(([self.start], ranks[:-1])) << 32 | ranks
 
 
+def _words(hashes: bytes, uses: bytes) -> Words:
+    return Words(unpack_sorted(hashes), uses)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[int]]]:
     """(texts, classes) of up to PIECE characters, or of one longer text."""
     texts, classes, size = [], [], 0
@@ -223,10 +238,7 @@ def _vocabulary(texts: DataFrame, words_of: Callable) -> Words:
     rows.sort(key=lambda r: r["bucket"])
     none = [np.empty(0, np.int64)]
     hashes = np.concatenate(none + [unpack_sorted(bytes(r["keys"])) for r in rows])
-    n = np.concatenate(none + [unpack(bytes(r["c0"])) for r in rows])
-    frequency = np.empty(len(n), np.int32)
-    frequency[np.argsort(-n, kind="stable")] = np.arange(len(n), dtype=np.int32)
-    return Words(hashes, frequency)
+    return Words(hashes, pack(np.concatenate(none + [unpack(bytes(r["c0"])) for r in rows])))
 
 
 def _sums(ddl: str, packed: Callable, unpacked: Callable) -> Callable[[pa.Table], pa.Table]:
@@ -287,7 +299,7 @@ class Sides:
     """What each class's model needs of single words; arrays by class (toxic, ordinary) and rank.
 
     ``uses`` and ``after``: texts' uses of the word as a context and its distinct followers;
-    ``contexts``: the distinct words before it.
+    ``contexts``: the distinct words before it. Broadcast packed, as the words are.
     """
 
     uses: tuple[np.ndarray, np.ndarray]
@@ -297,6 +309,15 @@ class Sides:
     totals: tuple[tuple[float, float, float], ...]  # distinct bigrams, words with a context, all uses
     size: int  # words learnt, and one for all others
 
+    def __reduce__(self):
+        packed = tuple(pack(values) for values in (*self.uses, *self.after, *self.contexts))
+        return _packed_sides, (packed, self.discounts, self.totals, self.size)
+
+
+def _packed_sides(packed: tuple[bytes, ...], *rest) -> Sides:
+    values = [unpack(part).astype(np.int32) for part in packed]
+    return Sides(*zip(values[::2], values[1::2]), *rest)
+
 
 def _discount(ones: float, twos: float) -> float:
     return ones / (ones + 2 * twos) if ones and twos else DISCOUNT

@@ -1,12 +1,13 @@
 """Edge cases of every operator, and brute-force versions where SQL cannot state it."""
 
 import hashlib
+import pickle
 import random
 
 import numpy as np
 import pytest
 
-from barloom.llm import (bpe, decontam, embed_dedup, html_extract, minhash, pii, quality, sharding,
+from barloom.llm import (bpe, class_models, decontam, embed_dedup, html_extract, minhash, pii, quality, sharding,
                          shingles, toxicity, urls)
 from barloom.llm.components import components
 from barloom.llm.queries import BPE_FILE
@@ -519,3 +520,23 @@ def test_toxicity_is_both_log_likelihoods_over_every_word(spark):
                    for v, w in zip([None, *words], words)) / len(words)
         got = model.threshold + np.log(row["score"] / (1 - row["score"])) / model.slope
         assert want != 0 and abs(got - want) < 1e-6, row["text"]
+
+
+def test_broadcast_words_and_counts_are_packed():
+    rng = np.random.default_rng(14)
+    hashes = np.unique(rng.integers(-2 ** 63, 2 ** 63 - 1, 50_000, dtype=np.int64))
+    uses = rng.geometric(.5, len(hashes))
+    words = class_models.Words(hashes, class_models.pack(uses))
+    order = sorted(range(len(hashes)), key=lambda k: (-uses[k], k))
+    assert [words.frequency[k] for k in order] == list(range(len(hashes)))
+    values = [rng.poisson(1, len(hashes) + 2).astype(np.int32) for _ in range(6)]
+    sides = class_models.Sides((values[0], values[1]), (values[2], values[3]), (values[4], values[5]),
+                               ((.7, .6), (.5, .4)), ((3., 2., 1.), (6., 5., 4.)), len(hashes) + 1)
+    sent = [pickle.dumps(x) for x in (words, sides)]
+    # 36 bytes a word unpacked.
+    assert sum(map(len, sent)) < 10 * len(hashes)
+    got, back = map(pickle.loads, sent)
+    assert (got.hashes == hashes).all() and (got.frequency == words.frequency).all()
+    assert [(a == b).all() and a.dtype == b.dtype for name in ("uses", "after", "contexts")
+            for a, b in zip(getattr(back, name), getattr(sides, name))] == [True] * 6
+    assert (back.discounts, back.totals, back.size) == (sides.discounts, sides.totals, sides.size)
