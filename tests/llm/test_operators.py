@@ -3,8 +3,11 @@
 import hashlib
 import pickle
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barloom.llm import (bpe, class_models, decontam, embed_dedup, html_extract, minhash, pii, quality, sharding,
@@ -540,3 +543,36 @@ def test_broadcast_words_and_counts_are_packed():
     assert [(a == b).all() and a.dtype == b.dtype for name in ("uses", "after", "contexts")
             for a, b in zip(getattr(back, name), getattr(sides, name))] == [True] * 6
     assert (back.discounts, back.totals, back.size) == (sides.discounts, sides.totals, sides.size)
+
+
+def test_a_task_holds_few_bigrams_at_once(monkeypatch):
+    class Frame:
+        """Takes the functions that Spark would run in its tasks."""
+
+        def mapInArrow(self, run, schema):
+            asked.append(run)
+            return self
+
+        def __getattr__(self, name):
+            return lambda *args, **kwargs: self
+    asked, rng = [], np.random.default_rng(15)
+    words = class_models.Words(np.empty(0, np.int64), class_models.pack(np.empty(0, np.int64)))
+    models = class_models.Models(Frame(), SimpleNamespace(value=words), SimpleNamespace(value=None), 5)
+    class_models.differences(Frame(), models, str.split)
+    monkeypatch.setattr(class_models, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    # Words never learnt share a rank: ranks of their own give as many bigrams as words.
+    monkeypatch.setattr(class_models.Words, "ranks", lambda self, hashes: hashes & 0xFFFF)
+
+    def batches():
+        for _ in range(20):
+            texts = [" ".join(map(str, rng.integers(0, 30_000, 1_000))) for _ in range(90)]
+            yield pa.RecordBatch.from_pydict({"text": texts, "class": [0] * len(texts)})
+    tracemalloc.start()
+    try:
+        sizes = [sum(len(class_models.unpack(codes)) for codes in batch["codes"].to_pylist()[:-1])
+                 for batch in asked[0](batches())]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Chunks of 1.7 million took 137 MB.
+    assert 1_700_000 < sum(sizes) and len(sizes) > 3 and peak < 100e6, (sizes, peak)
