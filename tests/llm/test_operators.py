@@ -559,7 +559,8 @@ def test_a_task_holds_few_bigrams_at_once(monkeypatch):
     words = class_models.Words(np.empty(0, np.int64), class_models.pack(np.empty(0, np.int64)))
     models = class_models.Models(Frame(), SimpleNamespace(value=words), SimpleNamespace(value=None), 5)
     class_models.differences(Frame(), models, str.split)
-    monkeypatch.setattr(class_models, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(class_models, "TaskContext",
+                        SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
     # Words never learnt share a rank: ranks of their own give as many bigrams as words.
     monkeypatch.setattr(class_models.Words, "ranks", lambda self, hashes: hashes & 0xFFFF)
 

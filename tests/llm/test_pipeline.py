@@ -1,5 +1,8 @@
 """The pipeline's row-dropping stages against plain versions, with null and repeated ids."""
 
+import math
+import random
+import zlib
 from collections import Counter
 
 import corpus_pipeline
@@ -121,3 +124,50 @@ def test_the_whole_run_against_plain_stages(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert Counter((r["doc_id"], tuple(r["ids"])) for r in got) == Counter(
         {(i, tuple(library.encode(t, add_special_tokens=False).ids)): n for (i, t), n in want.items()})
+
+
+def test_toxicity_stage_sums_both_models_over_every_word(spark, tmp_path):
+    """The rows kept are those that plain sums over all words keep: no word or pair is left out."""
+    from barloom.llm import toxicity
+    rng = random.Random(16)
+    texts = []
+    for k in range(150):
+        words = [f"w{min(rng.randrange(25), rng.randrange(25))}" for _ in range(rng.randrange(4, 16))]
+        if k % 3 == 0:  # ordinary words, told apart only by their order
+            at = rng.randrange(len(words) - 1)
+            words[at:at + 2] = ["w1", "w2"]
+        texts.append((k, " ".join(words)))
+    spark.createDataFrame([(k, 0, int(k % 3 == 0)) for k in range(150)], "doc_id long, quality int, toxic int") \
+        .write.parquet(str(tmp_path / "labels.parquet"))
+    rows = texts + [(None, "w3 w1 w2 w0 w4"), (900, "w2 w1 w0 w3 w4"), (901, "never learnt"), (902, None)]
+    docs = docs_of(spark, rows)
+    learnt = [k for k in range(150) if zlib.crc32(str(k).encode()) % 5]
+    model = toxicity.learn(docs, spark.read.parquet(str(tmp_path / "labels.parquet")).filter(toxicity.learnable()))
+    counts, first = (Counter(), Counter()), {}
+    for k in learnt:
+        first.setdefault(texts[k][1], k)
+    for text, k in first.items():
+        words = text.split()
+        counts[k % 3 != 0].update({*zip([None, *words], words)})
+    size, strength = len({w for of in counts for _, w in of}) + 1, model.models.backoffs[0]
+
+    def probability(of, before, word):
+        def discount(values):
+            ones, twos = values.count(1), values.count(2)
+            return ones / (ones + 2 * twos) if ones and twos else .75
+        contexts = list(Counter(w for _, w in of).values())
+        d = discount(contexts)
+        alone = (max(sum(w == word for _, w in of) - d, 0) + d * len(contexts) / size) / len(of)
+        d = discount(list(of.values()))
+        followers = [n for (v, _), n in of.items() if v == before]
+        prior = strength * sum(of.values())
+        return (max(of[before, word] - d, 0) + (d * len(followers) + prior) * alone) / (sum(followers) + prior)
+    want = Counter()
+    for i, t in rows:
+        words = (t or "").split()
+        mean = sum(math.log(.99 + .01 * probability(counts[0], v, w) / probability(counts[1], v, w))
+                   for v, w in zip([None, *words], words)) / max(len(words), 1)
+        assert abs(mean - model.threshold) > 1e-6
+        want[i, t] += mean < model.threshold
+    kept = kept_of(corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)))
+    assert kept == +want and (None, "w3 w1 w2 w0 w4") not in kept and (900, "w2 w1 w0 w3 w4") in kept
