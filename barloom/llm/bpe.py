@@ -175,8 +175,13 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids",
         codec = codec_of(definition.value)
         for batch in batches:
             lists = batch.column(batch.schema.names.index(ids_col))
-            texts = (codec.decode(lists[k].values.to_numpy(zero_copy_only=False).tolist()) if lists[k].is_valid else ""
-                     for k in range(len(batch)))
-            yield _with_column(batch, text_col, pa.array(texts, pa.string()))
+            start, parts, held = 0, [], 0
+            for k in range(len(batch)):
+                ids = lists[k].values.to_numpy(zero_copy_only=False).tolist() if lists[k].is_valid else []
+                parts.append(codec.decode(ids))
+                held += len(ids)
+                if held >= IDS_OUT or k + 1 == len(batch):
+                    yield _with_column(batch.slice(start, len(parts)), text_col, pa.array(parts, pa.string()))
+                    start, parts, held = k + 1, [], 0
 
     return encoded.mapInArrow(run, _extended(encoded, text_col, T.StringType()))

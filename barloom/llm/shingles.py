@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-# Bytes of text worked on at once; one longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+# Bytes of text worked on at once, which take some fifty times as many in arrays; one longer text is a
+# slice of its own.
+SLICE_BYTES = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -114,11 +114,14 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Repeated rows give equal rows; extra columns of ``docs`` are not part of the result.
     """
-    # Written between: encoders and decoders at work at once would double the memory of the workers.
-    encoded = stage_table(bpe.encode(docs.select("doc_id", "lang", "source", "text"), BPE_FILE), "encoded")
+    # Written between: encoders and decoders at work at once would double the memory of the workers. The
+    # texts' digests go on in their place, so that a decoder's batch is half as large.
+    whole = docs.select("doc_id", "lang", "source", "text",
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole"))
+    encoded = stage_table(bpe.encode(whole, BPE_FILE).drop("text"), "encoded")
     return bpe.decode(encoded, BPE_FILE).select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+        (F.sha2("decoded", 256) == F.col("whole")).alias("round_trip"))
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", keep_one_of_each),

@@ -577,3 +577,39 @@ def test_a_task_holds_few_bigrams_at_once(monkeypatch):
         tracemalloc.stop()
     # Chunks of 1.7 million took 137 MB.
     assert 1_700_000 < sum(sizes) and len(sizes) > 3 and peak < 100e6, (sizes, peak)
+
+
+def test_a_task_hashes_few_bytes_of_text_at_once():
+    rng = np.random.default_rng(16)
+    texts = [" ".join(map(str, rng.integers(0, 30_000, 400))) for _ in range(3_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+    for run, given in ((minhash._signer(5, minhash.bands_for(80)), batch),
+                       (minhash._set_writer(5), batch.select(["text"]))):
+        tracemalloc.start()
+        try:
+            rows = sum(len(part) for part in run(iter([given])))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        # Slices of 4 MB took 131 MB.
+        assert rows == len(texts) and peak < 60e6, peak
+
+
+def test_decoders_hand_on_few_ids_at_once(monkeypatch):
+    class Frame:
+        schema = bpe.T.StructType().add("doc_id", "long").add("ids", bpe.T.ArrayType(bpe.T.IntegerType()))
+        sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(
+            broadcast=lambda value: SimpleNamespace(value=value)))
+
+        def mapInArrow(self, run, schema):
+            return run
+    monkeypatch.setattr(bpe, "IDS_OUT", 100)
+    codec = bpe.Codec(open(BPE_FILE, encoding="utf-8").read())
+    texts = ["lorem ipsum dolor " * k for k in range(40)] + [""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(42), "ids": pa.array(
+        [*(codec.encode(t) for t in texts), None], pa.list_(pa.int32()))})
+    parts = list(bpe.decode(Frame(), BPE_FILE)(iter([batch])))
+    assert [t for part in parts for t in part["decoded"].to_pylist()] == [*texts, ""]
+    assert [i for part in parts for i in part["doc_id"].to_pylist()] == list(range(42))
+    most = max(len(i or []) for i in batch["ids"].to_pylist())
+    assert len(parts) > 10 and max(sum(len(i or []) for i in part["ids"].to_pylist()) for part in parts) < 100 + most

@@ -171,3 +171,21 @@ def test_toxicity_stage_sums_both_models_over_every_word(spark, tmp_path):
         want[i, t] += mean < model.threshold
     kept = kept_of(corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)))
     assert kept == +want and (None, "w3 w1 w2 w0 w4") not in kept and (900, "w2 w1 w0 w3 w4") in kept
+
+
+def test_decoders_get_no_texts(spark, monkeypatch, tmp_path):
+    texts = ["Lorem  ipsum\n", "", None, "déjà 中文 \U0001f600", "Lorem  ipsum\n"]
+    docs = spark.createDataFrame([(k, t, "en", "web") for k, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string")
+    staged = []
+    monkeypatch.setattr(corpus_pipeline, "stage_table",
+                        lambda df, label, stage=corpus_pipeline.stage_table: staged.append(df.columns) or stage(df, label))
+    rows = corpus_pipeline.tokens(spark, docs, str(tmp_path)).orderBy("doc_id").collect()
+    assert len(rows) == 5 and all(r["round_trip"] is True for r in rows)
+    assert rows[0]["ids"] == rows[4]["ids"] and rows[1]["ids"] == rows[2]["ids"] == []
+    assert "ids" in staged[0] and "text" not in staged[0]
+    # A decoder that loses something is noticed.
+    monkeypatch.setattr(corpus_pipeline.bpe, "decode", lambda encoded, path: encoded.withColumn(
+        "decoded", corpus_pipeline.F.when(corpus_pipeline.F.col("doc_id") == 3, "").otherwise("Lorem  ipsum\n")))
+    rows = corpus_pipeline.tokens(spark, docs, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r["round_trip"] for r in rows] == [True, False, False, False, True]
