@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from barloom.llm import shingles
 from barloom.llm.components import components
 from barloom.llm.shingles import U64
-from barloom.session import Scratch, stage
+from barloom.session import Scratch, small_batches, stage
 
 # Largest chance that a pair just at the threshold shares no bucket.
 MISS = 1e-6
@@ -59,9 +59,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
     bands = bands_for(percent)
-    signed = stage(rows.mapInArrow(
-        _signer(width, bands), "doc_id long, node binary, n_shingles long, bands array<long>"),
-        "signed")
+    with small_batches(docs.sparkSession):
+        signed = stage(rows.mapInArrow(
+            _signer(width, bands), "doc_id long, node binary, n_shingles long, bands array<long>"),
+            "signed")
     scratch = Scratch(docs.sparkSession)
     groups = scratch.stage(signed.filter("doc_id IS NOT NULL AND node IS NOT NULL")
                    .groupBy("node").agg(F.min("doc_id").alias("first_id"),
@@ -97,6 +98,8 @@ def _signer(width: int, bands: int):
                      pa.array(np.diff(ends).astype(np.int64)),
                      pa.ListArray.from_arrays(steps, flat)],
                     names=["doc_id", "node", "n_shingles", "bands"])
+        # Workers wait for later tasks and would keep what the batches took.
+        pa.default_memory_pool().release_unused()
     return sign
 
 
@@ -118,6 +121,7 @@ def _set_writer(width: int):
                          pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)),
                                                   pa.array(held))],
                         names=["node", "sketch", "hashes"])
+        pa.default_memory_pool().release_unused()
     return write
 
 
@@ -128,7 +132,8 @@ def _links(rows: DataFrame, groups: DataFrame, width: int, percent: int, scratch
     shared = star.stage(entries.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
     members = star.stage(entries.join(shared, "bucket").select("bucket", "node", "n",
                                                                F.col("node").alias("root")), "members")
-    sets = scratch.stage(_sets(rows, groups, members, width, star), "sets")
+    with small_batches(rows.sparkSession):
+        sets = scratch.stage(_sets(rows, groups, members, width, star), "sets")
     able = _viable(members, sets, percent, star)
     hubs = star.stage(_hubs(able), "hubs")
     links = scratch.stage(_confirmed(able, hubs, sets, percent, star), "links")

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from barloom.llm import bpe, decontam, minhash, pii, toxicity
 from barloom.llm.queries import BPE_FILE, PII_KEY, table
+from barloom.session import small_batches, staging_path
 from barloom.session import stage as stage_table
-from barloom.session import staging_path
 
 # Rows of a side up to which it is broadcast; above it both sides are shuffled.
 BROADCAST_ROWS = 500_000
@@ -118,7 +118,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # texts' digests go on in their place, so that a decoder's batch is half as large.
     whole = docs.select("doc_id", "lang", "source", "text",
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole"))
-    encoded = stage_table(bpe.encode(whole, BPE_FILE).drop("text"), "encoded")
+    with small_batches(spark):
+        encoded = stage_table(bpe.encode(whole, BPE_FILE).drop("text"), "encoded")
     return bpe.decode(encoded, BPE_FILE).select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.sha2("decoded", 256) == F.col("whole")).alias("round_trip"))

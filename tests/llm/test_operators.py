@@ -613,3 +613,27 @@ def test_decoders_hand_on_few_ids_at_once(monkeypatch):
     assert [i for part in parts for i in part["doc_id"].to_pylist()] == list(range(42))
     most = max(len(i or []) for i in batch["ids"].to_pylist())
     assert len(parts) > 10 and max(sum(len(i or []) for i in part["ids"].to_pylist()) for part in parts) < 100 + most
+
+
+def test_signers_get_few_rows_at_once(spark, monkeypatch, tmp_path):
+    def sized(make):
+        def made(*args):
+            run = make(*args)
+
+            def counted(batches):
+                def told():
+                    for batch in batches:
+                        (tmp_path / f"{len(batch)}").touch()
+                        yield batch
+                return run(told())
+            return counted
+        return made
+    monkeypatch.setattr(minhash, "_signer", sized(minhash._signer))
+    monkeypatch.setattr(minhash, "_set_writer", sized(minhash._set_writer))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 3_000, 1, 1).selectExpr("id AS doc_id", "concat_ws(' ', id DIV 2, 'a', 'b', 'c', 'd') AS text")
+    rows = minhash.near_duplicates(docs).collect()
+    assert len(rows) == 3_000 and all(r["component_id"] == r["doc_id"] // 2 * 2 for r in rows)
+    assert max(int(p.name) for p in tmp_path.iterdir()) <= 500
+    assert spark.conf.get(key) == before
