@@ -52,9 +52,13 @@ class Codec:
             "(" + "|".join(regex.escape(t) for t in sorted(added, key=len, reverse=True)) + ")"
         ).split if added else lambda text: [text]
         self._pieces = regex.compile(PIECES).findall
-        self._known: dict[str, list[int]] = {}
+        self._known: dict[str, tuple[int, ...]] = {}
 
-    def encode(self, text: str) -> list[int]:
+    def forget(self) -> None:
+        """Give back what the pieces seen so far take."""
+        self._known = {}
+
+    def encode(self, text: str, remembered: int = REMEMBERED) -> list[int]:
         ids: list[int] = []
         known = self._known
         # With one group in the pattern, odd parts are the added tokens.
@@ -66,8 +70,8 @@ class Codec:
             for piece in self._pieces(part):
                 found = known.get(piece)
                 if found is None:
-                    found = self.merge(piece.encode())
-                    if len(known) >= REMEMBERED:
+                    found = tuple(self.merge(piece.encode()))
+                    if len(known) >= remembered:
                         known.clear()
                     if len(piece) <= 64:
                         known[piece] = found
@@ -134,12 +138,14 @@ def _definition(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
+           remembered: int = REMEMBERED) -> DataFrame:
     """``docs`` with the token ids of each whole text in ``ids_col`` (array of int).
 
     ``path`` names a byte-level BPE vocabulary in the tokenizers library's JSON form; its added
     tokens are recognised in texts, none is added. Null and empty texts give an empty list. All
-    other columns and all rows stay, repeated rows too; a column named ``ids_col`` is replaced.
+    other columns and all rows stay, repeated rows too; a column named ``ids_col`` is replaced. A
+    worker remembers up to ``remembered`` pieces: fewer take less memory and more time, with equal ids.
     """
     definition = _definition(docs, path)
 
@@ -149,7 +155,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
             texts = batch.column(batch.schema.names.index(text_col))
             start, parts, held = 0, [], 0
             for k in range(len(batch)):
-                ids = np.array(codec.encode(texts[k].as_py() or ""), dtype=np.int32)
+                ids = np.array(codec.encode(texts[k].as_py() or "", remembered), dtype=np.int32)
                 parts.append(ids)
                 held += len(ids)
                 if held >= IDS_OUT or k + 1 == len(batch):
@@ -173,6 +179,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(definition.value)
+        codec.forget()  # of an encoder's task before
         for batch in batches:
             lists = batch.column(batch.schema.names.index(ids_col))
             start, parts, held = 0, [], 0

@@ -16,6 +16,8 @@ from barloom.session import stage as stage_table
 
 # Rows of a side up to which it is broadcast; above it both sides are shuffled.
 BROADCAST_ROWS = 500_000
+# Pieces that an encoder remembers, beside executors that still hold the memory of the stages before.
+PIECES = 100_000
 
 # Learnt scores, hash signatures and merges have no SQL form; tests/llm states the stages plainly.
 ORACLE_SQL = None
@@ -43,8 +45,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and those of no known word stay, ids play no part but in learning. Other columns pass unchanged.
     """
     score = _free(docs, "toxic_score")
-    model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(toxicity.learnable()))
-    return toxicity.score(docs, model, score_col=score).filter(F.col(score) < 0.5).select(*_columns(docs))
+    with small_batches(spark):
+        model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(toxicity.learnable()))
+        scored = toxicity.score(docs, model, score_col=score)
+    return scored.filter(F.col(score) < 0.5).select(*_columns(docs))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -119,10 +123,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     whole = docs.select("doc_id", "lang", "source", "text",
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole"))
     with small_batches(spark):
-        encoded = stage_table(bpe.encode(whole, BPE_FILE).drop("text"), "encoded")
-    return bpe.decode(encoded, BPE_FILE).select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.sha2("decoded", 256) == F.col("whole")).alias("round_trip"))
+        encoded = stage_table(bpe.encode(whole, BPE_FILE, remembered=PIECES).drop("text"), "encoded")
+        # Written here, since what the caller writes would get Spark's own batches.
+        return stage_table(bpe.decode(encoded, BPE_FILE).select(
+            "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+            (F.sha2("decoded", 256) == F.col("whole")).alias("round_trip")), "decoded")
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", keep_one_of_each),

@@ -637,3 +637,26 @@ def test_signers_get_few_rows_at_once(spark, monkeypatch, tmp_path):
     assert len(rows) == 3_000 and all(r["component_id"] == r["doc_id"] // 2 * 2 for r in rows)
     assert max(int(p.name) for p in tmp_path.iterdir()) <= 500
     assert spark.conf.get(key) == before
+
+
+def test_encoders_remember_few_pieces_and_decoders_none(monkeypatch):
+    codec = bpe.Codec(open(BPE_FILE, encoding="utf-8").read())
+    monkeypatch.setattr(bpe, "codec_of", lambda definition: codec)
+    texts = [f" word{k} another{k % 7}, and déjà{k % 5}" for k in range(300)]
+    want = [codec.encode(text) for text in texts]
+    assert len(codec._known) > 300
+    codec.forget()
+    for text, ids in zip(texts, want):
+        assert codec.encode(text, remembered=20) == ids and len(codec._known) <= 20
+
+    class Frame:
+        schema = bpe.T.StructType().add("ids", bpe.T.ArrayType(bpe.T.IntegerType()))
+        sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(
+            broadcast=lambda value: SimpleNamespace(value=value)))
+
+        def mapInArrow(self, run, schema):
+            return run
+    batch = pa.RecordBatch.from_arrays([pa.array(want, pa.list_(pa.int32()))], names=["ids"])
+    parts = list(bpe.decode(Frame(), BPE_FILE)(iter([batch])))
+    assert [text for part in parts for text in part["decoded"].to_pylist()] == texts
+    assert not codec._known

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline
+from barloom.llm import class_models
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -189,3 +190,33 @@ def test_decoders_get_no_texts(spark, monkeypatch, tmp_path):
         "decoded", corpus_pipeline.F.when(corpus_pipeline.F.col("doc_id") == 3, "").otherwise("Lorem  ipsum\n")))
     rows = corpus_pipeline.tokens(spark, docs, str(tmp_path)).orderBy("doc_id").collect()
     assert [r["round_trip"] for r in rows] == [True, False, False, False, True]
+
+
+def test_scorers_and_decoders_get_few_rows_at_once(spark, monkeypatch, tmp_path):
+    def told(which, df):
+        folder = tmp_path / which
+        folder.mkdir(exist_ok=True)
+
+        def run(batches):
+            for batch in batches:
+                (folder / f"{len(batch)}").touch()
+                yield batch
+        return df.mapInArrow(run, df.schema)
+
+    def most(which):
+        return max(int(p.name) for p in (tmp_path / which).iterdir())
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rows = learning_rows()
+    rows += [(1_000 + k, rows[k % 30 * 2][1]) for k in range(2_000)]
+    docs = docs_of(spark, rows).coalesce(1)
+    tables_of(spark, str(tmp_path), docs)
+    decode, differences = corpus_pipeline.bpe.decode, class_models.differences
+    monkeypatch.setattr(corpus_pipeline.bpe, "decode", lambda encoded, path: decode(told("ids", encoded), path))
+    monkeypatch.setattr(class_models, "differences", lambda texts, *rest: differences(told("texts", texts), *rest))
+    got = corpus_pipeline.tokens(spark, docs, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(r["round_trip"] for r in got)
+    kept = kept_of(corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)))
+    assert kept == Counter(r for r in rows if "vile" not in r[1].split())
+    assert most("ids") <= 500 and most("texts") <= 500
+    assert spark.conf.get(key) == before
