@@ -139,13 +139,14 @@ def _definition(df: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
-           remembered: int = REMEMBERED) -> DataFrame:
+           remembered: int = REMEMBERED, forget: bool = False) -> DataFrame:
     """``docs`` with the token ids of each whole text in ``ids_col`` (array of int).
 
     ``path`` names a byte-level BPE vocabulary in the tokenizers library's JSON form; its added
     tokens are recognised in texts, none is added. Null and empty texts give an empty list. All
     other columns and all rows stay, repeated rows too; a column named ``ids_col`` is replaced. A
-    worker remembers up to ``remembered`` pieces: fewer take less memory and more time, with equal ids.
+    worker remembers up to ``remembered`` pieces: fewer take less memory and more time, with equal ids;
+    with ``forget`` it drops them after each task, for jobs that go on to other work.
     """
     definition = _definition(docs, path)
 
@@ -164,6 +165,10 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
                                        pa.ListArray.from_arrays(pa.array(ends),
                                                                 pa.array(np.concatenate(parts))))
                     start, parts, held = k + 1, [], 0
+        # Workers wait for later tasks and would keep what the batches took.
+        if forget:
+            codec.forget()
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, _extended(docs, ids_col, T.ArrayType(T.IntegerType())))
 
@@ -179,7 +184,6 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(definition.value)
-        codec.forget()  # of an encoder's task before
         for batch in batches:
             lists = batch.column(batch.schema.names.index(ids_col))
             start, parts, held = 0, [], 0
@@ -190,5 +194,6 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids",
                 if held >= IDS_OUT or k + 1 == len(batch):
                     yield _with_column(batch.slice(start, len(parts)), text_col, pa.array(parts, pa.string()))
                     start, parts, held = k + 1, [], 0
+        pa.default_memory_pool().release_unused()
 
     return encoded.mapInArrow(run, _extended(encoded, text_col, T.StringType()))

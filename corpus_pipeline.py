@@ -123,7 +123,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     whole = docs.select("doc_id", "lang", "source", "text",
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole"))
     with small_batches(spark):
-        encoded = stage_table(bpe.encode(whole, BPE_FILE, remembered=PIECES).drop("text"), "encoded")
+        encoded = stage_table(bpe.encode(whole, BPE_FILE, remembered=PIECES, forget=True).drop("text"),
+                              "encoded")
         # Written here, since what the caller writes would get Spark's own batches.
         return stage_table(bpe.decode(encoded, BPE_FILE).select(
             "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",

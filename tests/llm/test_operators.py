@@ -639,7 +639,7 @@ def test_signers_get_few_rows_at_once(spark, monkeypatch, tmp_path):
     assert spark.conf.get(key) == before
 
 
-def test_encoders_remember_few_pieces_and_decoders_none(monkeypatch):
+def test_encoders_remember_few_pieces_and_forget_them(monkeypatch):
     codec = bpe.Codec(open(BPE_FILE, encoding="utf-8").read())
     monkeypatch.setattr(bpe, "codec_of", lambda definition: codec)
     texts = [f" word{k} another{k % 7}, and déjà{k % 5}" for k in range(300)]
@@ -650,13 +650,14 @@ def test_encoders_remember_few_pieces_and_decoders_none(monkeypatch):
         assert codec.encode(text, remembered=20) == ids and len(codec._known) <= 20
 
     class Frame:
-        schema = bpe.T.StructType().add("ids", bpe.T.ArrayType(bpe.T.IntegerType()))
+        schema = bpe.T.StructType().add("text", bpe.T.StringType())
         sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(
             broadcast=lambda value: SimpleNamespace(value=value)))
 
         def mapInArrow(self, run, schema):
             return run
-    batch = pa.RecordBatch.from_arrays([pa.array(want, pa.list_(pa.int32()))], names=["ids"])
-    parts = list(bpe.decode(Frame(), BPE_FILE)(iter([batch])))
-    assert [text for part in parts for text in part["decoded"].to_pylist()] == texts
-    assert not codec._known
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    for forget in (False, True):
+        parts = list(bpe.encode(Frame(), BPE_FILE, forget=forget)(iter([batch])))
+        assert [ids for part in parts for ids in part["ids"].to_pylist()] == want
+        assert bool(codec._known) is not forget
